@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, media
+from . import bpe, decontaminate, media
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digest(media.media(table(spark, sf_dir, "documents")))
 
@@ -21,5 +25,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op8_media, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op3_decontaminate, op8_media, op10_bpe)}
 SQL: dict[str, str] = {}

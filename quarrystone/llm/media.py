@@ -3,7 +3,7 @@
 `to_wav` stores bytes as 8-bit mono samples, `from_wav` reads them back with the wave module, and
 `fingerprint` takes short-time Fourier transforms of the samples: in each frame the strongest bin of
 each of BANDS bands, if it stands out of its band, is a peak; each peak is paired with the strongest
-peaks of the following frames, and a pair's code holds both bins and the frames between. The codes
+peaks of its own and the following frames, and a pair's code holds both bins and the frames between. The codes
 are stored with their frame as time-coded arrays.
 
 Defined results: null counts as empty; a payload is padded with PAD to a positive multiple of BLOCK,
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 RATE, BLOCK, PAD = 8000, 192, 32
 #: Samples of a frame, and between frames' starts.
 FRAME, HOP = 192, 96
-#: Edges of the bands of bins in which peaks are sought, and the following frames that a peak is paired with.
-BANDS, AHEAD = (1, 8, 20, 40, 97), (1, 2)
+#: Edges of the bands of bins in which peaks are sought, and how many frames further on a peak's partners are.
+BANDS, AHEAD = (1, 8, 20, 40, 97), (0, 1, 2)
 #: Frames transformed at once.
 AT_ONCE = 4096
 
@@ -78,7 +78,8 @@ def fingerprint(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
     codes = np.full((len(s), len(BANDS) - 1, len(AHEAD)), -1, np.int64)
     for k, d in enumerate(AHEAD):
         if len(s) > d:
-            codes[:-d, :, k] = np.where(peak[:-d] & has[d:, None], (bins[:-d] << 12) | (best_bin[d:, None] << 4) | d, -1)
+            m = len(s) - d
+            codes[:m, :, k] = np.where(peak[:m] & has[d:, None], (bins[:m] << 12) | (best_bin[d:, None] << 4) | d, -1)
     at, _, _ = np.nonzero(codes >= 0)
     return at.astype(np.int32), codes[codes >= 0].astype(np.int32)
 
