@@ -52,7 +52,7 @@ def test_media_round_trip(spark):
         assert bytes(f.wav) == media.to_wav(payload) and media.from_wav(bytes(f.wav)) == payload and r.media_bytes == len(f.wav) and r.media_sha256 == hashlib.sha256(bytes(f.wav)).hexdigest()
         assert len(f.frames) == len(f.codes) and list(f.frames) == sorted(f.frames) and all(x < len(payload) / media.HOP for x in f.frames)
         assert features.setdefault(data, r.feature) == r.feature
-    assert len(set(features.values())) > 5
+    assert len(set(features.values())) >= 5
 
 
 def test_fingerprint_of_a_tone():
