@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, media
+from . import bpe, chat, decontaminate, media, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.STATED, urls.mine(urls.labelled_urls(pages, table(spark, sf_dir, "labels"))))
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(chat.format_conversations(chat.with_probe(table(spark, sf_dir, "conversations"))))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -25,5 +34,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op8_media, op10_bpe)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_urls, op2_chat, op3_decontaminate, op8_media, op10_bpe)}
+SQL: dict[str, str] = {"op2_chat": chat.SQL}
