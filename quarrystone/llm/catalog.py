@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, media, urls
+from . import bpe, chat, decontaminate, langid, media, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,15 +24,25 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.judged(docs, toxicity.learned(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digest(media.media(table(spark, sf_dir, "documents")))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.judged(docs, langid.learned(docs))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
     return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op1_urls, op2_chat, op3_decontaminate, op8_media, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_urls, op2_chat, op3_decontaminate, op7_toxicity, op8_media, op9_language, op10_bpe)}
 SQL: dict[str, str] = {"op2_chat": chat.SQL}
