@@ -33,8 +33,8 @@ _rng = np.random.default_rng(20)
 _A = _rng.integers(0, 1 << 31, ROWS * BANDS, dtype=np.int64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _rng.integers(0, 1 << 32, ROWS * BANDS, dtype=np.int64).astype(np.uint32)
 _BAND = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-#: Shingles hashed at once.
-AT_ONCE = 2048
+#: Shingles hashed at once, and shingles kept in full sets between pairs.
+AT_ONCE, KEEP = 2048, 100_000
 
 
 def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,20 +149,25 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         both = pairs.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import pyarrow.compute as pc
+
             known: OrderedDict[str, frozenset] = OrderedDict()
+            held = 0
 
             def of(text: str) -> frozenset:
+                nonlocal held
                 if (s := known.get(text)) is None:
                     known[text] = s = word_set(text, size)
-                    if len(known) > 64:
-                        known.popitem(last=False)
+                    held += len(s)
+                    while held > KEEP and len(known) > 2:
+                        held -= len(known.popitem(last=False)[1])
                 return s
 
-            import pyarrow.compute as pc
-
             for b in batches:
-                yes = [alike(of(x), of(y), percent) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pc.filter(b.column(k), pa.array(yes, pa.bool_())) for k in (0, 1)], names=["a", "b"])
+                for lo in range(0, b.num_rows, 64):
+                    part = b.slice(lo, 64)
+                    yes = [alike(of(x), of(y), percent) for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([pc.filter(part.column(k), pa.array(yes, pa.bool_())) for k in (0, 1)], names=["a", "b"])
 
         kind = rows.schema["id"].dataType.simpleString()
         return both.mapInArrow(run, f"a {kind}, b {kind}")
