@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, html_extract, langid, media, minhash, toxicity, urls
+from . import bpe, chat, decontaminate, html_extract, langid, lines, media, minhash, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.judged(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.judged(docs, toxicity.learned(docs, table(spark, sf_dir, "labels")))
@@ -52,5 +56,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN))
 
 
-QUERIES = {f.__name__: f for f in (op1_urls, op2_chat, op3_decontaminate, op4_html, op5_minhash, op7_toxicity, op8_media, op9_language, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_urls, op2_chat, op3_decontaminate, op4_html, op5_minhash, op6_lines, op7_toxicity, op8_media, op9_language, op10_bpe)}
 SQL: dict[str, str] = {"op2_chat": chat.SQL}
