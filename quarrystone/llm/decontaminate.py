@@ -130,17 +130,19 @@ def blocks(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> I
     yield Phrases(held, window)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", clean: bool = False) -> DataFrame:
-    """Per document: its id, `n_words`, `n_hit`, `items` (ids of the items with occurring phrases, as sorted strings), `spans` (byte ranges of the text to remove, merged) and, if asked for, `clean`, the text without them."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", clean: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per document: its id, `n_words`, `n_hit`, `items` (ids of the items with occurring phrases, as sorted strings), `spans` (byte ranges of the text to remove, merged) and, if asked for, `clean`, the text without them; then the columns of `carry`."""
     kind = docs.schema[id_col].dataType.simpleString()
     spark = docs.sparkSession
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.expr("cast(array() as array<int>)").alias("hits"), F.expr("cast(array() as array<string>)").alias("items"))
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.expr("cast(array() as array<int>)").alias("hits"), F.expr("cast(array() as array<string>)").alias("items"), *[F.col(c).alias(f"__{k}") for k, c in enumerate(carry)])
+    carried = "".join(f", __{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(carry))
     found = list(blocks(benchmark, window, item_col, item_text_col))
     for k, block in enumerate(found):
         last = k == len(found) - 1
-        schema = f"id {kind}, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start: bigint, end: bigint>>" + ", clean string" * clean
-        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(block), last, clean), schema if last else f"id {kind}, text string, hits array<int>, items array<string>")
-    return out.withColumnRenamed("id", id_col)
+        schema = f"id {kind}, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start: bigint, end: bigint>>" + ", clean string" * clean + carried
+        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(block), last, clean), schema if last else f"id {kind}, text string, hits array<int>, items array<string>" + carried)
+    names = [id_col, "n_words", "n_hit", "items", "spans"] + ["clean"] * clean
+    return out.toDF(*names, *carry)
 
 
 def _pass(shared, last: bool, clean: bool):
@@ -171,10 +173,11 @@ def _pass(shared, last: bool, clean: bool):
                 s = np.flatnonzero(hit & (opens[:-1] | ~np.concatenate(([False], hit[:-1])))) if len(hit) else np.zeros(0, np.int64)
                 e = np.flatnonzero(hit & (opens[1:] | ~np.concatenate((hit[1:], [False])))) + 1 if len(hit) else np.zeros(0, np.int64)
                 by = np.searchsorted(s, w.first)
+                rest, rest_names = [c[lo:hi] for c in b.columns[4:]], b.schema.names[4:]
                 named = [sorted(items.get(r, ())) for r in range(hi - lo)]
                 if not last:
                     hits = [np.stack((s[by[r] : by[r + 1]], e[by[r] : by[r + 1]]), 1).ravel() - w.first[r] for r in range(hi - lo)]
-                    yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], b.column(1)[lo:hi], pa.array(hits, pa.list_(pa.int32())), pa.array(named, pa.list_(pa.string()))], names=["id", "text", "hits", "items"])
+                    yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], b.column(1)[lo:hi], pa.array(hits, pa.list_(pa.int32())), pa.array(named, pa.list_(pa.string())), *rest], names=["id", "text", "hits", "items", *rest_names])
                     continue
                 upto = np.concatenate(([0], np.cumsum(hit)))
                 own = at[lo:hi] - at[lo]
@@ -188,7 +191,7 @@ def _pass(shared, last: bool, clean: bool):
                 ]
                 if clean:
                     columns.append(pa.array([without(t, x) if x else t for t, x in zip(b.column(1)[lo:hi].to_pylist(), spans, strict=True)], pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "n_hit", "items", "spans"] + ["clean"] * clean)
+                yield pa.RecordBatch.from_arrays([*columns, *rest], names=["id", "n_words", "n_hit", "items", "spans"] + ["clean"] * clean + rest_names)
 
     return run
 

@@ -177,3 +177,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     out = full.select("id", "n", "h1", "h2").join(known, ["h1", "h2"]).select("id", "n", "component")
     out = out.unionByName(all_rows.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def without_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows with all their columns, of every group those of its least id. Only documents that may go pass through the join."""
+    gone = written(near_duplicates(docs, size, percent, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct())
+    bits = bit_filter(gone, "__gone")
+    maybe = sieve(docs, id_col, bits)
+    return maybe.join(gone, F.col(id_col) == F.col("__gone"), "left_anti").unionByName(sieve(docs, id_col, bits, hit=False))

@@ -137,8 +137,8 @@ def bit_filter(df: DataFrame, key: str) -> np.ndarray:
     return out
 
 
-def sieve(df: DataFrame, key: str, bits: np.ndarray) -> DataFrame:
-    """Rows of df whose key may be in the bitmap (see bit_filter)."""
+def sieve(df: DataFrame, key: str, bits: np.ndarray, hit: bool = True) -> DataFrame:
+    """Rows of df whose key may be in the bitmap (see bit_filter), or the others."""
     shared = df.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
@@ -146,8 +146,8 @@ def sieve(df: DataFrame, key: str, bits: np.ndarray) -> DataFrame:
 
         for b in batches:
             p = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
-            hit = (shared.value[p >> 6] >> (p & 63)) & 1 == 1
-            if hit.any():
-                yield pa.RecordBatch.from_arrays([pc.filter(c, pa.array(hit)) for c in b.columns[:-1]], names=b.schema.names[:-1])
+            take = ((shared.value[p >> 6] >> (p & 63)) & 1 == 1) == hit
+            if take.any():
+                yield pa.RecordBatch.from_arrays([pc.filter(c, pa.array(take)) for c in b.columns[:-1]], names=b.schema.names[:-1])
 
     return df.withColumn("__at", F.pmod(F.xxhash64(F.col(key)), F.lit(FILTER_BITS))).mapInArrow(run, df.schema)
