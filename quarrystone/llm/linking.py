@@ -7,8 +7,9 @@ same groups as if all pairs within every bucket were compared and checked:
    not rule out, the likeliest is checked, and the links found are closed to groups.
 2. Its other pivots are checked where they are in another group.
 3. Buckets that still hold several groups are finished: members outside of a bucket's largest group are
-   compared with all members of other groups. Nearly all buckets have one group by then, so that this
-   meets few rows; it has no cap.
+   compared with all its members. Both are cut into chunks of bounded size, a row is a pair of
+   chunks, and what it gives is links that join groups, not pairs. Nearly all buckets have one group
+   by then, so that this meets few rows; it has no cap.
 
 Groups are closed by alternating large-star and small-star. Every intermediate table is written to the
 shared folder, so that no step depends on an executor's memory or disk.
@@ -16,15 +17,60 @@ shared folder, so that no step depends on an executor's memory or disk.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from abc import ABC, abstractmethod
+from collections import OrderedDict
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import bit_filter, sieve, written
 
-#: Is a pair's likeness possible by the sketches (of two struct columns), and how likely.
-Near = Callable[[Column, Column], Column]
+#: Members and bytes of text in a chunk, on average, and bytes of texts kept in their compared form by a worker.
+CHUNK_ROWS, CHUNK_BYTES, KEEP_BYTES = 128, 1 << 19, 4 << 20
+
+
+class Likeness(ABC):
+    """What makes two members alike. The sketch is the columns of longs named in `sketch`."""
+
+    sketch: tuple[str, ...]
+
+    @abstractmethod
+    def near(self, x: Column, y: Column) -> Column:
+        """Whether two structs of the sketch allow it."""
+
+    @abstractmethod
+    def likely(self, x: Column, y: Column) -> Column:
+        """More for what is likelier."""
+
+    @abstractmethod
+    def near_arrays(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """`near` of each row of x and each row of y."""
+
+    @abstractmethod
+    def form(self, text: str):
+        """A text in the form that `alike` compares."""
+
+    @abstractmethod
+    def alike(self, x, y) -> bool: ...
+
+
+class _Forms:
+    """Forms of the texts met last."""
+
+    def __init__(self, likeness: Likeness):
+        self.likeness, self.kept, self.size = likeness, OrderedDict(), 0
+
+    def __call__(self, text: str):
+        if (f := self.kept.get(text)) is None:
+            self.kept[text] = f = self.likeness.form(text)
+            self.size += len(text)
+            while self.size > KEEP_BYTES and len(self.kept) > 2:
+                self.size -= len(self.kept.popitem(last=False)[0])
+        return f
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -65,39 +111,86 @@ def _between(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return pairs.where("__a <> __b").select("a", "b")
 
 
-def grouped(members: DataFrame, sketch: list[str], near: Near, likely: Near, verify: Callable[[DataFrame], DataFrame], prepare: Callable[[DataFrame], None] | None = None) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFrame:
+    """The pairs (a, b) whose texts (id, text) are alike."""
+    kind = pairs.schema["a"].dataType.simpleString()
+    both = pairs.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forms = _Forms(likeness)
+        for b in batches:
+            for lo in range(0, b.num_rows, 64):
+                part = b.slice(lo, 64)
+                yes = pa.array([likeness.alike(forms(x), forms(y)) for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([pc.filter(part.column(k), yes) for k in (0, 1)], names=["a", "b"])
+
+    return both.mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def grouped(members: DataFrame, likeness: Likeness, texts_of) -> DataFrame:
     """(id, component) of the members linked with any other.
 
-    members: key, id, and the sketch's columns; an id is once at most in a bucket. near and likely compare
-    two structs of the sketch. verify keeps the pairs (a, b) that are truly alike; prepare gets the
-    ids that it may meet, before.
+    members: key, id, and the sketch's columns; an id is once at most in a bucket. texts_of gives the
+    texts (id, text) of a table of ids.
     """
-    own = F.struct("id", *sketch)
+    own = F.struct("id", *likeness.sketch)
     multi = written(members.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first"))
     met = written(sieve(members, "key", bit_filter(multi, "key")).join(multi, "key"))
-    if prepare:
-        prepare(met.select("id").distinct())
-    pairs = met.join(met.where("id = first").select("key", own.alias("pivot")), "key").where((F.col("id") != F.col("pivot.id")) & near(own, F.col("pivot")))
-    pairs = written(pairs.groupBy(F.col("id").alias("a"), F.col("pivot.id").alias("b")).agg(F.max(likely(own, F.col("pivot"))).alias("likely")))
-    links = written(verify(pairs.groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b"))))
+    texts = written(texts_of(written(met.select("id").distinct())))
+    pairs = met.join(met.where("id = first").select("key", own.alias("pivot")), "key").where((F.col("id") != F.col("pivot.id")) & likeness.near(own, F.col("pivot")))
+    pairs = written(pairs.groupBy(F.col("id").alias("a"), F.col("pivot.id").alias("b")).agg(F.max(likeness.likely(own, F.col("pivot"))).alias("likely")))
+    links = written(_verified(pairs.groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b")), texts, likeness))
     groups = written(components(links))
-    more = written(verify(written(_between(pairs, groups))))
+    more = written(_verified(written(_between(pairs, groups)), texts, likeness))
     if not more.isEmpty():
         links = links.union(more)
         groups = written(components(links))
-    last = written(verify(written(_unfinished(met, groups, sketch, near))))
-    if not last.isEmpty():
+    last = _finished(met, groups, texts, likeness)
+    if last is not None and not last.isEmpty():
         groups = written(components(links.union(last)))
     return groups
 
 
-def _unfinished(met: DataFrame, groups: DataFrame, sketch: list[str], near: Near) -> DataFrame:
-    """Pairs of different groups that share a bucket and are near, each with an end outside of the bucket's largest group."""
-    rows = met.select("key", "id", *sketch).join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+def _finished(met: DataFrame, groups: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFrame | None:
+    """Links between groups that share a bucket."""
+    kind = met.schema["id"].dataType.simpleString()
+    rows = met.select("key", "id", *likeness.sketch).join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     by = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     main = written(by.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("groups")).where("groups > 1").select("key", "main"))
-    left = written(rows.join(main, "key"))
-    x = left.where("component <> main").select("key", F.struct("id", *sketch).alias("x"), F.col("component").alias("cx"))
-    y = left.select("key", F.struct("id", *sketch).alias("y"), F.col("component").alias("cy"), (F.col("component") == F.col("main")).alias("large"))
-    pairs = x.join(y, (x["key"] == y["key"]) & (F.col("cx") != F.col("cy")) & (F.col("large") | (F.col("x.id") < F.col("y.id"))) & near(F.col("x"), F.col("y")))
-    return pairs.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
+    if main.isEmpty():
+        return None
+    # what has a bucket in common with a group that is the largest of this bucket
+    near = written(rows.join(main, "key").select("main", "id", "component", *likeness.sketch).distinct())
+    full = written(near.join(texts, "id"))
+    sizes = written(full.groupBy("main").agg((F.ceil(F.count(F.lit(1)) / CHUNK_ROWS) + F.floor(F.sum(F.length("text")) / CHUNK_BYTES)).alias("parts")))
+    full = full.join(sizes, "main").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    chunk = F.collect_list(F.struct("id", "component", *likeness.sketch, "text"))
+    x = written(full.where("component <> main").groupBy("main", "part").agg(chunk.alias("x")).select("main", "x"))
+    y = written(full.groupBy("main", "part").agg(chunk.alias("y")).select("main", "y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forms, n = _Forms(likeness), len(likeness.sketch)
+        for b in batches:
+            for k in range(b.num_rows):
+                left, right = (b.column(c)[k].values for c in (0, 1))
+                (xi, xc, *xs, xt), (yi, yc, *ys, yt) = left.flatten(), right.flatten()
+                sx, sy = (np.stack([s.to_numpy() for s in sketch], 1) for sketch in (xs[:n], ys[:n]))
+                xi, xc, xt, yi, yc, yt = (c.to_pylist() for c in (xi, xc, xt, yi, yc, yt))
+                joined: dict = {}
+
+                def root(c, joined=joined):
+                    while c in joined:
+                        c = joined[c]
+                    return c
+
+                found = []
+                for i, j in np.argwhere(likeness.near_arrays(sx, sy)).tolist():
+                    a, c = root(xc[i]), root(yc[j])
+                    # one link between two groups is enough
+                    if a != c and likeness.alike(forms(xt[i]), forms(yt[j])):
+                        joined[a] = c
+                        found.append((xi[i], yi[j]))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], b.column(0).type.value_type.field(0).type) for k in (0, 1)], names=["a", "b"])
+
+    return written(x.join(y, "main").select("x", "y").mapInArrow(run, f"a {kind}, b {kind}"))

@@ -17,7 +17,6 @@ their texts is); a row without an id is linked with nothing, has no component an
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .linking import grouped
+from .linking import Likeness, grouped
 from .shared import SOLID, Words, bit_filter, buffers, chunks, mix, sieve, written
 
 ROWS, BANDS, MARGIN = 6, 36, 5.0
@@ -33,8 +32,8 @@ _rng = np.random.default_rng(20)
 _A = _rng.integers(0, 1 << 31, ROWS * BANDS, dtype=np.int64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _rng.integers(0, 1 << 32, ROWS * BANDS, dtype=np.int64).astype(np.uint32)
 _BAND = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-#: Shingles hashed at once, and shingles kept in full sets between pairs.
-AT_ONCE, KEEP = 2048, 100_000
+#: Shingles hashed at once.
+AT_ONCE = 2048
 
 
 def shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,32 +103,44 @@ def agreement(x: Column, y: Column) -> Column:
     return F.lit(ROWS * BANDS) - (differ[0] + differ[1] + differ[2] + differ[3])
 
 
-def near(percent: int):
-    """Sizes and signatures that allow a likeness of percent."""
-    s, m = percent / 100, ROWS * BANDS
-    p = (1 + s) / 2
-    least = int(m * p - MARGIN * (m * p * (1 - p)) ** 0.5)
+class SetLikeness(Likeness):
+    """Percent of the union of two full sets of shingles that is common."""
 
-    def test(x: Column, y: Column) -> Column:
-        return (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent) & (agreement(x, y) >= least)
+    sketch = ("n", "s1", "s2", "s3", "s4")
 
-    return test
+    def __init__(self, size: int, percent: int):
+        self.size, self.percent = size, percent
+        m, p = ROWS * BANDS, (1 + percent / 100) / 2
+        self.least = int(m * p - MARGIN * (m * p * (1 - p)) ** 0.5)
+
+    def near(self, x: Column, y: Column) -> Column:
+        return (F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * self.percent) & (agreement(x, y) >= self.least)
+
+    def likely(self, x: Column, y: Column) -> Column:
+        return agreement(x, y)
+
+    def near_arrays(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        n, m = x[:, None, 0], y[None, :, 0]
+        apart = np.bitwise_count((x[:, None, 1:] ^ y[None, :, 1:]).view(np.uint64)).sum(2)
+        return (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)) & (ROWS * BANDS - apart.astype(np.int64) >= self.least)
+
+    def form(self, text: str) -> frozenset:
+        return word_set(text, self.size)
+
+    def alike(self, x: frozenset, y: frozenset) -> bool:
+        both = len(x & y)
+        return bool(x) and bool(y) and 100 * both >= self.percent * (len(x) + len(y) - both)
 
 
 def word_set(text: str, size: int) -> frozenset:
-    """The full set of shingles, as bytes."""
+    """The full set of shingles; words have no spaces, so that one joins them."""
     w = text.encode().translate(_LOWER).split()
-    return frozenset(zip(*[w[k:] for k in range(size)], strict=False)) if len(w) >= size else frozenset([tuple(w)] if w else [])
+    return frozenset(map(b" ".join, zip(*[w[k:] for k in range(size)], strict=False))) if len(w) >= size else frozenset([b" ".join(w)] if w else [])
 
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def alike(a: frozenset, b: frozenset, percent: int) -> bool:
-    both = len(a & b)
-    return bool(a) and bool(b) and 100 * both >= percent * (len(a) + len(b) - both)
-
-
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: its id, `n_shingles`, `component_id` (the least id that it is connected with) and `kept` (whether that is its own)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -138,41 +149,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     sets = written(full.groupBy("h1", "h2").agg(F.min("id").alias("rep")))
     nodes = full.join(sets.select(F.col("rep").alias("id"), "h1", "h2"), ["id", "h1", "h2"], "left_semi").dropDuplicates(["id", "h1", "h2"])
     members = nodes.select(F.explode("keys").alias("key"), "id", "n", "s1", "s2", "s3", "s4")
-    held: list[DataFrame] = []
-
-    def prepare(ids: DataFrame) -> None:
-        ids = written(ids)
-        held.append(written(sieve(rows, "id", bit_filter(ids, "id")).join(ids, "id", "left_semi")))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        texts = held[0]
-        both = pairs.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            import pyarrow.compute as pc
-
-            known: OrderedDict[str, frozenset] = OrderedDict()
-            held = 0
-
-            def of(text: str) -> frozenset:
-                nonlocal held
-                if (s := known.get(text)) is None:
-                    known[text] = s = word_set(text, size)
-                    held += len(s)
-                    while held > KEEP and len(known) > 2:
-                        held -= len(known.popitem(last=False)[1])
-                return s
-
-            for b in batches:
-                for lo in range(0, b.num_rows, 64):
-                    part = b.slice(lo, 64)
-                    yes = [alike(of(x), of(y), percent) for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([pc.filter(part.column(k), pa.array(yes, pa.bool_())) for k in (0, 1)], names=["a", "b"])
 
-        kind = rows.schema["id"].dataType.simpleString()
-        return both.mapInArrow(run, f"a {kind}, b {kind}")
+    def texts_of(ids: DataFrame) -> DataFrame:
+        return sieve(rows, "id", bit_filter(ids, "id")).join(ids, "id", "left_semi")
 
-    groups = grouped(members, ["n", "s1", "s2", "s3", "s4"], near(percent), agreement, verify, prepare)
+    groups = grouped(members, SetLikeness(size, percent), texts_of)
     known = written(sets.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component")))
     out = full.select("id", "n", "h1", "h2").join(known, ["h1", "h2"]).select("id", "n", "component")
     out = out.unionByName(all_rows.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component")))
