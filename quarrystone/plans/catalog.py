@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from . import hierarchy, pages, snapshots, texts  # noqa: F401  they register
+from .registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
