@@ -83,11 +83,11 @@ def multi_parent(t: Tables):
 
 
 @query("""
-SELECT 'c' || c_custkey AS node FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)
+SELECT 'c' || c_custkey AS node FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
 """)
 def dag_orphans(t: Tables):
-    """Customers that no order files."""
-    return graph.orphan_roots(t.customer.select(F.concat(F.lit("c"), "c_custkey").alias("node")), t.orders.select(F.col("o_orderkey").cast("string").alias("parent"), F.concat(F.lit("c"), "o_custkey").alias("child")), "world")
+    """Customers that no pending order files."""
+    return graph.orphan_roots(t.customer.select(F.concat(F.lit("c"), "c_custkey").alias("node")), t.orders.where("o_orderstatus = 'P'").select(F.col("o_orderkey").cast("string").alias("parent"), F.concat(F.lit("c"), "o_custkey").alias("child")), "world")
 
 
 @query(f"""

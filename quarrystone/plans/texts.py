@@ -84,10 +84,10 @@ def tick_steps(t: Tables):
 
 
 @query("""
-SELECT doc_id, length(text) AS n FROM documents WHERE length(text) > n_chars
+SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n FROM documents WHERE strlen(text) > n_chars
 """)
 def oversized(t: Tables):
-    return checks.oversized(t.documents.select("doc_id", F.length("text").alias("n"), F.length("text").alias("content_bytes"), F.col("n_chars").alias("raw_bytes"))).select("doc_id", F.col("n").cast("bigint").alias("n"))
+    return checks.oversized(t.documents.select("doc_id", F.octet_length("text").alias("n"), F.octet_length("text").alias("content_bytes"), F.col("n_chars").alias("raw_bytes"))).select("doc_id", F.col("n").cast("bigint").alias("n"))
 
 
 @query("""
