@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 NONE = 1 << 62
 #: Matches kept by a worker in each of two generations; longer ones than LONG characters are not kept.
-KEEP, LONG = 300_000, 64
+KEEP, LONG = 200_000, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -6,10 +6,12 @@ same groups as if all pairs within every bucket were compared and checked:
 1. Each member is compared with its buckets' first members (pivots); of those that its sketch does
    not rule out, the likeliest is checked, and the links found are closed to groups.
 2. Its other pivots are checked where they are in another group.
-3. Buckets that still hold several groups are finished: members outside of a bucket's largest group are
-   compared with all its members. Both are cut into chunks of bounded size, a row is a pair of
-   chunks, and what it gives is links that join groups, not pairs. Nearly all buckets have one group
-   by then, so that this meets few rows; it has no cap.
+3. Buckets of three and more that still hold several groups are finished: members outside of a bucket's
+   largest group are compared with all its members. Where these are many, both are cut into chunks
+   of bounded size, a row is a pair of chunks, and what it gives is links that join groups, not pairs.
+   Nearly all buckets have one group by then, so that this meets few rows; it has no cap.
+
+Texts are fetched only for members that the sketches leave a partner.
 
 Groups are closed by alternating large-star and small-star. Every intermediate table is written to the
 shared folder, so that no step depends on an executor's memory or disk.
@@ -31,6 +33,8 @@ from .shared import bit_filter, sieve, written
 
 #: Members and bytes of text in a chunk, on average, and bytes of texts kept in their compared form by a worker.
 CHUNK_ROWS, CHUNK_BYTES, KEEP_BYTES = 128, 1 << 19, 4 << 20
+#: Up to so many members are compared in a join.
+FEW = 32
 
 
 class Likeness(ABC):
@@ -134,48 +138,82 @@ def grouped(members: DataFrame, likeness: Likeness, texts_of) -> DataFrame:
     texts (id, text) of a table of ids.
     """
     own = F.struct("id", *likeness.sketch)
-    multi = written(members.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first"))
+    multi = written(members.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("__size")).where("__size > 1"))
     met = written(sieve(members, "key", bit_filter(multi, "key")).join(multi, "key"))
-    texts = written(texts_of(written(met.select("id").distinct())))
     pairs = met.join(met.where("id = first").select("key", own.alias("pivot")), "key").where((F.col("id") != F.col("pivot.id")) & likeness.near(own, F.col("pivot")))
     pairs = written(pairs.groupBy(F.col("id").alias("a"), F.col("pivot.id").alias("b")).agg(F.max(likeness.likely(own, F.col("pivot"))).alias("likely")))
+    texts = written(texts_of(_ends(pairs)))
     links = written(_verified(pairs.groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b")), texts, likeness))
     groups = written(components(links))
     more = written(_verified(written(_between(pairs, groups)), texts, likeness))
     if not more.isEmpty():
         links = links.union(more)
         groups = written(components(links))
-    last = _finished(met, groups, texts, likeness)
+    last = _finished(met.where("__size > 2"), groups, texts_of, likeness)
     if last is not None and not last.isEmpty():
         groups = written(components(links.union(last)))
     return groups
 
 
-def _finished(met: DataFrame, groups: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFrame | None:
+def _ends(pairs: DataFrame) -> DataFrame:
+    return written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+
+
+def _finished(met: DataFrame, groups: DataFrame, texts_of, likeness: Likeness) -> DataFrame | None:
     """Links between groups that share a bucket."""
-    kind = met.schema["id"].dataType.simpleString()
+    own = F.struct("id", *likeness.sketch)
     rows = met.select("key", "id", *likeness.sketch).join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     by = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     main = written(by.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("groups")).where("groups > 1").select("key", "main"))
     if main.isEmpty():
         return None
     # what has a bucket in common with a group that is the largest of this bucket
-    near = written(rows.join(main, "key").select("main", "id", "component", *likeness.sketch).distinct())
-    full = written(near.join(texts, "id"))
+    shared = written(rows.join(main, "key").select("main", "id", "component", *likeness.sketch).distinct())
+    sizes = written(shared.groupBy("main").agg(F.count(F.lit(1)).alias("__size")))
+    few = shared.join(sizes.where(F.col("__size") <= FEW).select("main"), "main")
+    many = written(shared.join(sizes.where(F.col("__size") > FEW).select("main"), "main"))
+    x = few.where("component <> main").select("main", own.alias("x"), F.col("component").alias("cx"))
+    y = few.select("main", own.alias("y"), F.col("component").alias("cy"))
+    pairs = x.join(y, "main").where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x.id") < F.col("y.id"))) & likeness.near(F.col("x"), F.col("y")))
+    pairs = written(pairs.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct())
+    partnered = None if many.isEmpty() else written(_chunked(many.withColumn("text", F.lit("")), likeness, links=False).distinct())
+    ids = _ends(pairs) if partnered is None else written(_ends(pairs).union(partnered).distinct())
+    texts = written(texts_of(ids))
+    found = _verified(pairs, texts, likeness)
+    if partnered is not None:
+        found = found.union(_chunked(many.join(texts, "id"), likeness, links=True))
+    return written(found)
+
+
+def _chunked(full: DataFrame, likeness: Likeness, links: bool) -> DataFrame:
+    """Of rows (main, id, component, sketch, text): the links (a, b) that join groups of a main, or the ids that have a partner by the sketch.
+
+    Members go to chunks by a hash, CHUNK_ROWS or CHUNK_BYTES each on average; a row is a pair of chunks, the left one without the main group.
+    """
+    kind = full.schema["id"].dataType.simpleString()
     sizes = written(full.groupBy("main").agg((F.ceil(F.count(F.lit(1)) / CHUNK_ROWS) + F.floor(F.sum(F.length("text")) / CHUNK_BYTES)).alias("parts")))
-    full = full.join(sizes, "main").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    parted = full.join(sizes, "main").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
     chunk = F.collect_list(F.struct("id", "component", *likeness.sketch, "text"))
-    x = written(full.where("component <> main").groupBy("main", "part").agg(chunk.alias("x")).select("main", "x"))
-    y = written(full.groupBy("main", "part").agg(chunk.alias("y")).select("main", "y"))
+    x = written(parted.where("component <> main").groupBy("main", "part").agg(chunk.alias("x")).select("main", "x"))
+    y = written(parted.groupBy("main", "part").agg(chunk.alias("y")).select("main", "y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forms, n = _Forms(likeness), len(likeness.sketch)
+        forms = _Forms(likeness)
         for b in batches:
+            of = b.column(0).type.value_type.field(0).type
             for k in range(b.num_rows):
-                left, right = (b.column(c)[k].values for c in (0, 1))
-                (xi, xc, *xs, xt), (yi, yc, *ys, yt) = left.flatten(), right.flatten()
-                sx, sy = (np.stack([s.to_numpy() for s in sketch], 1) for sketch in (xs[:n], ys[:n]))
-                xi, xc, xt, yi, yc, yt = (c.to_pylist() for c in (xi, xc, xt, yi, yc, yt))
+                (xi, xc, *xs, xt), (yi, yc, *ys, yt) = (b.column(c)[k].values.flatten() for c in (0, 1))
+                sx, sy = (np.stack([s.to_numpy() for s in sketch], 1) for sketch in (xs, ys))
+                near = likeness.near_arrays(sx, sy)
+                xi, xc, yi, yc = (c.to_pylist() for c in (xi, xc, yi, yc))
+                if not links:
+                    number = {c: i for i, c in enumerate({*xc, *yc})}
+                    near &= np.array([number[c] for c in xc])[:, None] != np.array([number[c] for c in yc])[None, :]
+                    ids = {xi[i] for i in np.flatnonzero(near.any(1))} | {yi[j] for j in np.flatnonzero(near.any(0))}
+                    if ids:
+                        yield pa.RecordBatch.from_arrays([pa.array(list(ids), of)], names=["id"])
+                    continue
+                xt, yt = xt.to_pylist(), yt.to_pylist()
                 joined: dict = {}
 
                 def root(c, joined=joined):
@@ -184,13 +222,13 @@ def _finished(met: DataFrame, groups: DataFrame, texts: DataFrame, likeness: Lik
                     return c
 
                 found = []
-                for i, j in np.argwhere(likeness.near_arrays(sx, sy)).tolist():
+                for i, j in np.argwhere(near).tolist():
                     a, c = root(xc[i]), root(yc[j])
                     # one link between two groups is enough
                     if a != c and likeness.alike(forms(xt[i]), forms(yt[j])):
                         joined[a] = c
                         found.append((xi[i], yi[j]))
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], b.column(0).type.value_type.field(0).type) for k in (0, 1)], names=["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], of) for c in (0, 1)], names=["a", "b"])
 
-    return written(x.join(y, "main").select("x", "y").mapInArrow(run, f"a {kind}, b {kind}"))
+    return x.join(y, "main").select("x", "y").mapInArrow(run, f"a {kind}, b {kind}" if links else f"id {kind}")

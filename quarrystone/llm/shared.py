@@ -137,17 +137,22 @@ def bit_filter(df: DataFrame, key: str) -> np.ndarray:
     return out
 
 
-def sieve(df: DataFrame, key: str, bits: np.ndarray, hit: bool = True) -> DataFrame:
-    """Rows of df whose key may be in the bitmap (see bit_filter), or the others."""
-    shared = df.sparkSession.sparkContext.broadcast(bits)
+def marked(df: DataFrame, key: str) -> DataFrame:
+    """df with the place of each row's key in the bitmap of bit_filter as a last column."""
+    return df.withColumn("__at", F.coalesce(F.pmod(F.xxhash64(F.col(key)), F.lit(FILTER_BITS)), F.lit(0)))
+
 
-    def run(batches):
-        import pyarrow.compute as pc
+def passing(batches: Iterator[pa.RecordBatch], bits: np.ndarray, hit: bool = True) -> Iterator[pa.RecordBatch]:
+    """Of batches with a last column as by `marked`: the rows that the bitmap holds, or the others, without that column."""
+    for b in batches:
+        p = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
+        take = ((bits[p >> 6] >> (p & 63)) & 1 == 1) == hit
+        if take.any():
+            own = b.select(list(range(b.num_columns - 1)))
+            yield own if take.all() else own.filter(pa.array(take))
 
-        for b in batches:
-            p = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
-            take = ((shared.value[p >> 6] >> (p & 63)) & 1 == 1) == hit
-            if take.any():
-                yield pa.RecordBatch.from_arrays([pc.filter(c, pa.array(take)) for c in b.columns[:-1]], names=b.schema.names[:-1])
 
-    return df.withColumn("__at", F.pmod(F.xxhash64(F.col(key)), F.lit(FILTER_BITS))).mapInArrow(run, df.schema)
+def sieve(df: DataFrame, key: str, bits: np.ndarray, hit: bool = True) -> DataFrame:
+    """Rows of df whose key may be in the bitmap (see bit_filter), or the others."""
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+    return marked(df, key).mapInArrow(lambda batches: passing(batches, shared.value, hit), df.schema)
