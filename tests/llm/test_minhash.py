@@ -78,6 +78,25 @@ def test_on_the_small_table(spark):
     assert sorted(got) == sorted(brute(docs, 2))
 
 
+def test_a_group_at_the_threshold(spark, monkeypatch):
+    # copies of one text, most pairs near 0.8: pivots miss many, and some are linked with few
+    rng = random.Random(12)
+    base = [f"w{rng.randint(0, 999)}" for _ in range(70)]
+    docs = []
+    for k in range(150):
+        w = list(base)
+        for _ in range(rng.randint(1, 8)):
+            w[rng.randrange(len(w))] = f"x{rng.randint(0, 999)}"
+        docs.append((k, " ".join(w)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = sorted(brute(docs, 2))
+    assert 3 < len({c for _, _, c, _ in want}) < 140
+    for few, rows in ((linking.FEW, linking.CHUNK_ROWS), (2, 16), (10_000, 16)):
+        monkeypatch.setattr(linking, "FEW", few)
+        monkeypatch.setattr(linking, "CHUNK_ROWS", rows)
+        assert sorted(tuple(r) for r in minhash.near_duplicates(df, size=2).collect()) == want
+
+
 def test_two_texts_of_one_id_are_one_document(spark):
     a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
     df = spark.createDataFrame([(5, a), (5, b), (6, a), (7, b)], "doc_id bigint, text string")
