@@ -277,6 +277,17 @@ def tick_step(lo: Column, hi: Column, count: int) -> Column:
     return F.when(norm >= 5, 10.0).when(norm >= 2, 5.0).when(norm >= 1, 2.0).otherwise(1.0) * size
 
 
+def fixed_ticks(lo: Column, hi: Column, step: Column) -> Column:
+    """The multiples of a step from lo to hi; lo alone if there are none."""
+    first, last = F.ceil(lo / step), F.floor(hi / step)
+    return F.when(first <= last, F.transform(F.sequence(first, last), lambda k: (k * step).cast("double"))).otherwise(F.array(lo.cast("double")))
+
+
+def months_between(first: Column, last: Column) -> Column:
+    """Months from first to last, both included."""
+    return (F.year(last) - F.year(first)) * 12 + F.month(last) - F.month(first) + 1
+
+
 def month_sequence(first: Column, last: Column) -> Column:
     """The first days of the months from first to last, both included."""
     return F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))

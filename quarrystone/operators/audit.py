@@ -89,3 +89,13 @@ def token_groups(titles: DataFrame, least: int = 2) -> DataFrame:
     counted = cut.groupBy("prefix", "depth").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
     longer = counted.where("depth > 1").select(F.regexp_extract("prefix", r"(?s)^(.*) [^ ]*$", 1).alias("prefix"), "n").distinct()
     return counted.join(longer, ["prefix", "n"], "left_anti")
+
+
+def findings(**checks: DataFrame) -> DataFrame:
+    """(check, subject, n) of several checks' tables: their first column is the subject, their first column of whole numbers the count, else 1."""
+    out = None
+    for name, df in checks.items():
+        numbers = [c for c, kind in df.dtypes[1:] if kind in ("int", "bigint")]
+        rows = df.select(F.lit(name).alias("check"), F.col(df.columns[0]).cast("string").alias("subject"), (F.col(numbers[0]) if numbers else F.lit(1)).cast("bigint").alias("n"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

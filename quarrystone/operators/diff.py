@@ -116,3 +116,13 @@ def trend_points(log: DataFrame, date: str = "date", old_date: str = "old_date",
 def nearest(points: DataFrame, queries: DataFrame, x: str = "x", at: str = "at") -> DataFrame:
     """Per query position `at`: the nearest point's x. Both sides are short lists, as of a chart; points go to every task."""
     return queries.crossJoin(F.broadcast(points)).groupBy(at).agg(F.min_by(x, F.struct(F.abs(F.col(x) - F.col(at)), F.col(x))).alias("nearest"))
+
+
+def timeline(eras: DataFrame) -> DataFrame:
+    """(era, months, percent, start_percent) of eras (era, first, last) in order of their first month: how far each goes on a line of all months. Eras are few."""
+    from ..functions.text import months_between
+
+    months = eras.withColumn("months", months_between(F.col("first"), F.col("last")))
+    share = F.lit(100.0) / F.sum("months").over(Window.partitionBy(F.lit(1)))
+    before = F.coalesce(F.sum("months").over(Window.partitionBy(F.lit(1)).orderBy("first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return months.select("era", "months", (F.col("months") * share).alias("percent"), (before * share).alias("start_percent"))

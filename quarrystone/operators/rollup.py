@@ -95,3 +95,23 @@ def scanned_works(*titles: DataFrame) -> DataFrame:
     for t in titles[1:]:
         every = every.union(t.toDF("title"))
     return every.where("title <> ''").agg(F.count_distinct("title").alias("n_works"))
+
+
+def spliced_root(totals: DataFrame, edges: DataFrame, root: str, main: str) -> DataFrame:
+    """(scope, statistics): `root`, those of the category `main` if it is a child of the root, else the root's own; `all`, those of everything under the root.
+
+    The two may overlap, so that neither is ever made by adding.
+    """
+    there = edges.where((F.col("parent") == root) & (F.col("child") == main)).select(F.col("child").alias("ancestor")).distinct()
+    top = totals.join(there, "ancestor", "left_semi")
+    own = totals.where(F.col("ancestor") == root)
+    chosen = top.unionByName(own.withColumn("__own", F.lit(1)).join(there.select(F.lit(1).alias("__own")), "__own", "left_anti").drop("__own"))
+    return chosen.withColumn("scope", F.lit("root")).unionByName(own.withColumn("scope", F.lit("all"))).drop("ancestor")
+
+
+def corpus_stats(pages: DataFrame, tree: DataFrame, categories: DataFrame) -> DataFrame:
+    """One row without any category graph: pages, texts (pages without a parent), bytes, and categories that there are. pages: title, redirect_target, raw_bytes."""
+    own = pages.where("redirect_target is null").join(tree.select("title", "parent"), "title", "left")
+    counted = own.agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("parent").isNull()).alias("texts"), F.coalesce(F.sum("raw_bytes"), F.lit(0)).alias("raw_bytes"))
+    every = pages.agg(F.count(F.lit(1)).alias("records"))
+    return counted.crossJoin(F.broadcast(every)).crossJoin(F.broadcast(categories.agg(F.count_distinct("title").alias("categories"))))  # one row each

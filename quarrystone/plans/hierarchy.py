@@ -380,3 +380,35 @@ def path_forest(t: Tables):
         .unionByName(t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.concat(nation, F.lit(" /c"), "c_custkey").alias("title")))
     )
     return paths.page_tree(titles.select("title", F.lit(None).cast("string").alias("redirect_target"), F.lit(0).alias("position")))
+
+
+@query(f"""
+WITH RECURSIVE {PLACES}, reach(ancestor, node) AS (
+  SELECT DISTINCT n, n FROM (SELECT unnest([parent, child]) AS n FROM places) UNION SELECT ancestor, child FROM reach JOIN places ON node = parent),
+s AS (SELECT ancestor, CAST(count(*) AS BIGINT) AS count FROM reach WHERE node LIKE 'c%' GROUP BY ancestor)
+SELECT count, 'root' AS scope FROM s WHERE ancestor = 'r1' UNION ALL SELECT count, 'all' FROM s WHERE ancestor = 'world'
+""")
+def spliced_root(t: Tables):
+    edges = places(t)
+    filings = edges.where(F.col("child").startswith("c")).select(F.col("child").alias("node"), F.col("child").alias("item"))
+    totals = rollup.distinct_rollup(graph.closure(edges), filings, filings.select("item", F.lit(1).alias("count")), ("count",), None)
+    return rollup.spliced_root(totals, edges, "world", "r1")
+
+
+@query("""
+SELECT CAST(count(*) FILTER (c_custkey % 10 <> 0) AS BIGINT) AS pages, CAST(count(*) FILTER (c_custkey % 10 <> 0 AND c_custkey % 3 = 0) AS BIGINT) AS texts,
+  CAST(sum(CASE WHEN c_custkey % 10 <> 0 THEN c_nationkey ELSE 0 END) AS BIGINT) AS raw_bytes, CAST(count(*) AS BIGINT) AS records, CAST(count(DISTINCT c_mktsegment) AS BIGINT) AS categories FROM customer
+""")
+def corpus_stats(t: Tables):
+    pages = t.customer.select(F.col("c_name").alias("title"), F.expr("if(c_custkey % 10 = 0, 'x', null)").alias("redirect_target"), F.col("c_nationkey").cast("bigint").alias("raw_bytes"))
+    tree = t.customer.select(F.col("c_name").alias("title"), F.expr("if(c_custkey % 3 = 0, null, 'p')").alias("parent"))
+    return rollup.corpus_stats(pages, tree, t.customer.select(F.col("c_mktsegment").alias("title")))
+
+
+@query("""
+SELECT 'multi_parent' AS "check", p_type AS subject, CAST(count(DISTINCT p_brand) AS BIGINT) AS n FROM part GROUP BY p_type HAVING count(DISTINCT p_brand) > 1
+UNION ALL SELECT 'families', c_mktsegment, CAST(count(DISTINCT c_name) AS BIGINT) FROM customer GROUP BY c_mktsegment HAVING count(DISTINCT c_name) >= 2
+UNION ALL SELECT 'idle', 'c' || c_custkey, 1 FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
+""")
+def audit_findings(t: Tables):
+    return audit.findings(multi_parent=multi_parent(t), families=separator_families(t), idle=dag_orphans(t))

@@ -232,3 +232,22 @@ FROM customer GROUP BY c_nationkey
 def stats_monoid(t: Tables):
     own = t.customer.select(F.col("c_nationkey").cast("bigint").alias("title"), F.round("c_acctbal").cast("bigint").alias("raw_bytes"), F.lit(1).alias("content_bytes"), F.expr("if(c_custkey % 2 = 0, '', c_mktsegment)").alias("last_changed"))
     return own.groupBy("title").agg(*rollup.merged(stats=("raw_bytes", "content_bytes")))
+
+
+@query("""
+WITH e AS (SELECT o_orderpriority AS era, min(o_orderdate) + to_months(CAST(substr(o_orderpriority, 1, 1) AS INTEGER)) AS first, max(o_orderdate) AS last FROM orders GROUP BY 1),
+m AS (SELECT era, first, CAST((year(last) - year(first)) * 12 + month(last) - month(first) + 1 AS INTEGER) AS months FROM e)
+SELECT era, months, round(100.0 * months / sum(months) OVER (), 6) AS percent, round(100.0 * (sum(months) OVER (ORDER BY first) - months) / sum(months) OVER (), 6) AS start_percent FROM m
+""")
+def timeline(t: Tables):
+    """Priorities as eras, each beginning some months later."""
+    eras = t.orders.groupBy(F.col("o_orderpriority").alias("era")).agg(F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+    eras = eras.withColumn("first", F.expr("first + make_ym_interval(0, cast(substr(era, 1, 1) as int))"))
+    return diff.timeline(eras).withColumns({"percent": F.round("percent", 6), "start_percent": F.round("start_percent", 6)})
+
+
+@query("""
+SELECT 'dump-*-' || (o_custkey % 5) || '.xml' AS stem, max('dump-' || strftime(o_orderdate, '%Y-%m-%d') || '-' || (o_custkey % 5) || '.xml') AS name FROM orders GROUP BY o_custkey % 5
+""")
+def newest_names(t: Tables):
+    return tables.newest_names(t.orders.select(F.concat(F.lit("dump-"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("-"), (F.col("o_custkey") % 5).cast("string"), F.lit(".xml")).alias("name")))

@@ -147,3 +147,12 @@ SELECT event_id, CAST(regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS BIGINT) AS
 """)
 def json_field(t: Tables):
     return t.events.select("event_id", F.coalesce(F.get_json_object("props", "$.k").cast("bigint"), F.lit(0)).alias("k"))
+
+
+@query("""
+WITH s AS (SELECT p_brand, min(p_size) AS lo, max(p_size) AS hi FROM part GROUP BY 1)
+SELECT p_brand, CASE WHEN ceil(lo / 20.0) <= floor(hi / 20.0) THEN CAST(unnest(range(CAST(ceil(lo / 20.0) AS BIGINT), CAST(floor(hi / 20.0) AS BIGINT) + 1)) * 20 AS DOUBLE) ELSE CAST(lo AS DOUBLE) END AS tick FROM s
+""")
+def fixed_ticks(t: Tables):
+    ends = t.part.groupBy("p_brand").agg(F.min("p_size").alias("lo"), F.max("p_size").alias("hi"))
+    return ends.select("p_brand", F.explode(X.fixed_ticks(F.col("lo"), F.col("hi"), F.lit(20))).alias("tick"))

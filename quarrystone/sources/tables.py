@@ -65,6 +65,19 @@ def latest_complete(months: DataFrame, back: int = 6) -> DataFrame:
     return months.crossJoin(F.broadcast(newest)).where(F.col("complete") & (F.col("month") > F.add_months("newest", -back))).agg(F.max("month").alias("month"))
 
 
+def newest_names(files: DataFrame, name: str = "name") -> DataFrame:
+    """(stem, name): of files whose names differ in an ISO date, the one with the latest."""
+    return files.where(F.col(name).rlike(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")).groupBy(F.regexp_replace(name, r"[0-9]{4}-[0-9]{2}-[0-9]{2}", "*").alias("stem")).agg(F.max(name).alias(name))
+
+
+def first_available(makers: list, *args):
+    """What the first of several makers gives, from the cheapest to the dearest; one that has nothing gives None."""
+    for make in makers:
+        if (made := make(*args)) is not None:
+            return made
+    raise LookupError("no source has it")
+
+
 def preferred(sources: DataFrame, key: str = "month", priority: str = "priority") -> DataFrame:
     """One row a key: that of the first source in priority."""
     return sources.withColumn("__r", F.row_number().over(Window.partitionBy(key).orderBy(priority))).where("__r = 1").drop("__r")
