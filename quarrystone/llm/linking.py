@@ -1,6 +1,6 @@
 """Connected groups from shared buckets, without pairs of whole buckets.
 
-`grouped` gets members (key, id, and a sketch to compare); members of a bucket may be alike. It finds the
+`grouped` gets nodes (id, a sketch to compare, and the keys of their buckets); those that share a bucket may be alike. It finds the
 same groups as if all pairs within every bucket were compared and checked:
 
 1. Each member is compared with its buckets' first members (pivots); of those that its sketch does
@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bit_filter, sieve, written
+from .shared import key_filter, places, written
 
 #: Members and bytes of text in a chunk, on average, and bytes of texts kept in their compared form by a worker.
 CHUNK_ROWS, CHUNK_BYTES, KEEP_BYTES = 128, 1 << 19, 4 << 20
@@ -131,15 +131,33 @@ def _verified(pairs: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFra
     return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def grouped(members: DataFrame, likeness: Likeness, texts_of) -> DataFrame:
-    """(id, component) of the members linked with any other.
+def _in_buckets(nodes: DataFrame, bits: np.ndarray, sketch: tuple[str, ...]) -> DataFrame:
+    """(key, id, sketch) for every key of a node that the bitmap may hold."""
+    shared = nodes.sparkSession.sparkContext.broadcast(bits)
+    kinds = {f.name: f.dataType.simpleString() for f in nodes.schema.fields}
 
-    members: key, id, and the sketch's columns; an id is once at most in a bucket. texts_of gives the
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = b.column(0)
+            flat = keys.flatten().to_numpy(zero_copy_only=False)
+            word, bit = places(flat)
+            hit = np.flatnonzero((shared.value[word] >> bit) & 1)
+            if len(hit):
+                rows = pa.array(np.repeat(np.arange(b.num_rows), pc.list_value_length(keys).to_numpy(zero_copy_only=False))[hit])
+                yield pa.RecordBatch.from_arrays([pa.array(flat[hit]), *[pc.take(c, rows) for c in b.columns[1:]]], names=["key", *b.schema.names[1:]])
+
+    return nodes.select("keys", "id", *sketch).mapInArrow(run, "key bigint, " + ", ".join(f"{c} {kinds[c]}" for c in ("id", *sketch)))
+
+
+def grouped(nodes: DataFrame, likeness: Likeness, texts_of) -> DataFrame:
+    """(id, component) of the nodes linked with any other.
+
+    nodes: id, keys (longs), and the sketch's columns; an id is once at most in a bucket. texts_of gives the
     texts (id, text) of a table of ids.
     """
     own = F.struct("id", *likeness.sketch)
-    multi = written(members.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("__size")).where("__size > 1"))
-    met = written(sieve(members, "key", bit_filter(multi, "key")).join(multi, "key"))
+    multi = written(nodes.select(F.explode("keys").alias("key"), "id").groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("__size")).where("__size > 1"))
+    met = written(_in_buckets(nodes, key_filter(multi, "key"), likeness.sketch).join(multi, "key"))
     pairs = met.join(met.where("id = first").select("key", own.alias("pivot")), "key").where((F.col("id") != F.col("pivot.id")) & likeness.near(own, F.col("pivot")))
     pairs = written(pairs.groupBy(F.col("id").alias("a"), F.col("pivot.id").alias("b")).agg(F.max(likeness.likely(own, F.col("pivot"))).alias("likely")))
     texts = written(texts_of(_ends(pairs)))

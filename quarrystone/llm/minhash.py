@@ -148,12 +148,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     full = all_rows.where("n > 0 and id is not null")
     sets = written(full.groupBy("h1", "h2").agg(F.min("id").alias("rep")))
     nodes = full.join(sets.select(F.col("rep").alias("id"), "h1", "h2"), ["id", "h1", "h2"], "left_semi").dropDuplicates(["id", "h1", "h2"])
-    members = nodes.select(F.explode("keys").alias("key"), "id", "n", "s1", "s2", "s3", "s4")
 
     def texts_of(ids: DataFrame) -> DataFrame:
         return sieve(rows, "id", bit_filter(ids, "id")).join(ids, "id", "left_semi")
 
-    groups = grouped(members, SetLikeness(size, percent), texts_of)
+    groups = grouped(nodes, SetLikeness(size, percent), texts_of)
     known = written(sets.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component")))
     out = full.select("id", "n", "h1", "h2").join(known, ["h1", "h2"]).select("id", "n", "component")
     out = out.unionByName(all_rows.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component")))

@@ -156,3 +156,23 @@ def sieve(df: DataFrame, key: str, bits: np.ndarray, hit: bool = True) -> DataFr
     """Rows of df whose key may be in the bitmap (see bit_filter), or the others."""
     shared = df.sparkSession.sparkContext.broadcast(bits)
     return marked(df, key).mapInArrow(lambda batches: passing(batches, shared.value, hit), df.schema)
+
+
+def places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word and bit of longs in a bitmap by key_filter."""
+    p = mix(values.view(np.uint64)) % np.uint64(FILTER_BITS)
+    return (p >> np.uint64(6)).astype(np.int64), (p & np.uint64(63)).astype(np.int64)
+
+
+def key_filter(df: DataFrame, key: str) -> np.ndarray:
+    """The same as bit_filter with a hash that Python workers have too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            word, bit = places(b.column(0).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(np.int64(1) << bit)], names=["w", "b"])
+
+    rows = df.select(key).mapInArrow(run, "w bigint, b bigint").groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[rows["w"].to_numpy()] = rows["b"].to_numpy()
+    return out
