@@ -13,7 +13,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """The rows of df, written once and read again: lineage is cut, and lost executors cost nothing."""
-    path = f"{shared_dir(df.sparkSession)}/staged/{uuid.uuid4().hex}"
+    """The rows of df, written once and read again: lineage is cut, and lost executors cost nothing.
+
+    Tables are in a folder of the application, which may be deleted when it has ended.
+    """
+    path = f"{shared_dir(df.sparkSession)}/staged/{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
