@@ -110,9 +110,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """The rows of df, written to the shared folder and read again: later stages survive lost executors and don't run it twice."""
+    """The rows of df, written to the shared folder and read again: later stages survive lost executors and don't run it twice.
+
+    Tables are in a folder of the application, which may be deleted when it has ended.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
