@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import key_filter, places, written
+from .shared import key_filter, places, scope, written
 
 #: Members and bytes of text in a chunk, on average, and bytes of texts kept in their compared form by a worker.
 CHUNK_ROWS, CHUNK_BYTES, KEEP_BYTES = 128, 1 << 19, 4 << 20
@@ -87,25 +87,24 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     else:
         # the node itself moves too
         out = met.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-    return written(out.where("u <> v").distinct())
+    out = out.where("u <> v")
+    return written(out if large else out.distinct())
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+def _closed(edges: DataFrame) -> bool:
+    """Whether every edge leads from a node to the root of its star: no node has two, and no root has one itself."""
+    if not edges.groupBy("u").agg(F.min("v").alias("a"), F.max("v").alias("b")).where("a <> b").isEmpty():
+        return False
+    return edges.select("v").join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in links (a, b): the least id that it is connected with."""
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    before = _mark(edges)
-    while before[0]:
-        edges = _stars(_stars(edges, large=True), large=False)
-        now = _mark(edges)
-        if now == before:
-            break
-        before = now
-    # every edge now leads from a node to its component's least id
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
+    with scope(links.sparkSession) as keep:
+        edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+        while not _closed(edges):
+            edges = _stars(_stars(edges, large=True), large=False)
+        return keep(edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()))
 
 
 def _between(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -155,22 +154,23 @@ def grouped(nodes: DataFrame, likeness: Likeness, texts_of) -> DataFrame:
     nodes: id, keys (longs), and the sketch's columns; an id is once at most in a bucket. texts_of gives the
     texts (id, text) of a table of ids.
     """
-    own = F.struct("id", *likeness.sketch)
-    multi = written(nodes.select(F.explode("keys").alias("key"), "id").groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("__size")).where("__size > 1"))
-    met = written(_in_buckets(nodes, key_filter(multi, "key"), likeness.sketch).join(multi, "key"))
-    pairs = met.join(met.where("id = first").select("key", own.alias("pivot")), "key").where((F.col("id") != F.col("pivot.id")) & likeness.near(own, F.col("pivot")))
-    pairs = written(pairs.groupBy(F.col("id").alias("a"), F.col("pivot.id").alias("b")).agg(F.max(likeness.likely(own, F.col("pivot"))).alias("likely")))
-    texts = written(texts_of(_ends(pairs)))
-    links = written(_verified(pairs.groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b")), texts, likeness))
-    groups = written(components(links))
-    more = written(_verified(written(_between(pairs, groups)), texts, likeness))
-    if not more.isEmpty():
-        links = links.union(more)
-        groups = written(components(links))
-    last = _finished(met.where("__size > 2"), groups, texts_of, likeness)
-    if last is not None and not last.isEmpty():
-        groups = written(components(links.union(last)))
-    return groups
+    with scope(nodes.sparkSession) as keep:
+        own = F.struct("id", *likeness.sketch)
+        multi = written(nodes.select(F.explode("keys").alias("key"), "id").groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("__size")).where("__size > 1"))
+        met = written(_in_buckets(nodes, key_filter(multi, "key"), likeness.sketch).join(multi, "key"))
+        pairs = met.join(met.where("id = first").select("key", own.alias("pivot")), "key").where((F.col("id") != F.col("pivot.id")) & likeness.near(own, F.col("pivot")))
+        pairs = written(pairs.groupBy(F.col("id").alias("a"), F.col("pivot.id").alias("b")).agg(F.max(likeness.likely(own, F.col("pivot"))).alias("likely")))
+        texts = written(texts_of(_ends(pairs)))
+        links = written(_verified(pairs.groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b")), texts, likeness))
+        groups = components(links)
+        more = written(_verified(written(_between(pairs, groups)), texts, likeness))
+        if not more.isEmpty():
+            links = links.union(more)
+            groups = components(links)
+        last = _finished(met.where("__size > 2"), groups, texts_of, likeness)
+        if last is not None and not last.isEmpty():
+            groups = components(links.union(last))
+        return keep(groups)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:

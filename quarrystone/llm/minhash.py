@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .linking import Likeness, grouped
-from .shared import SOLID, Words, bit_filter, buffers, chunks, mix, sieve, written
+from .shared import SOLID, Words, bit_filter, buffers, chunks, mix, scope, sieve, written
 
 ROWS, BANDS, MARGIN = 6, 36, 5.0
 _rng = np.random.default_rng(20)
@@ -161,7 +161,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 
 def without_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows with all their columns, of every group those of its least id. Only documents that may go pass through the join."""
-    gone = written(near_duplicates(docs, size, percent, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct())
+    with scope(docs.sparkSession) as keep:
+        gone = keep(near_duplicates(docs, size, percent, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct())
     bits = bit_filter(gone, "__gone")
     maybe = sieve(docs, id_col, bits)
     return maybe.join(gone, F.col(id_col) == F.col("__gone"), "left_anti").unionByName(sieve(docs, id_col, bits, hit=False))

@@ -8,7 +8,8 @@ its own), which bounds the memory of a Python worker.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -109,17 +110,50 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Paths written in each open scope.
+_OPEN: list[list[str]] = []
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows of df, written to the shared folder and read again: later stages survive lost executors and don't run it twice.
 
-    Tables are in a folder of the application, which may be deleted when it has ended.
+    Tables are in a folder of the application, which may be deleted when it has ended; those of a scope go with it.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes what is written inside when it ends, but for what the function that it gives has written.
+
+    Spark drops the shuffle files of plans that have ended when the driver's JVM collects its garbage; that is asked for here.
+    """
+    paths: list[str] = []
+    _OPEN.append(paths)
+
+    def keep(df: DataFrame) -> DataFrame:
+        out = written(df)
+        kept = paths.pop()
+        if len(_OPEN) > 1:
+            _OPEN[-2].append(kept)
+        return out
+
+    try:
+        yield keep
+    finally:
+        _OPEN.pop()
+        jvm = spark.sparkContext._jvm
+        for path in paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        jvm.System.gc()
+
+
 FILTER_BITS = 1 << 25
 
 
