@@ -30,6 +30,17 @@ EXCLUDED_MARKS = ("विकिस्रोत", "ग्रन्थकर्त
 
 DEVANAGARI_DIGITS, ASCII_DIGITS = "०१२३४५६७८९", "0123456789"
 
+#: Patterns of the markup (Java's; (?U) where white space and digits are Unicode's). {} stands for a quoted name.
+CATEGORY_LINK = r"(?U)\[\[\s*{}\s*:\s*([^\]\|]+?)\s*(?:\|[^\]]*)?\]\]"
+PAGES_TAG = r"(?iU)<pages[.\s][^>]*>"
+PAGES_INDEX_FIRST = r"(?iU)<pages[.\s]index\s*=\s*(?:\"([^\"]*)\"|([^\s/>]+))"
+TAG_ATTRIBUTE = r"(?iU)\b{}\s*=\s*(?:\"([^\"]*)\"|([^\s/>]+))"
+ONLYINCLUDE = r"(?is)<onlyinclude\s*>(.*?)</onlyinclude>"
+NOINCLUDE = r"(?is)<noinclude\s*/?>.*?</noinclude>|<noinclude\s*/>"
+INCLUDEONLY_TAGS = r"(?i)</?includeonly\s*/?>"
+REDIRECT = r"^\s*#\s*\S[^\[\]\n]{0,60}?\[\[([^\]|\n]+)"
+URL = r"https?://[^\s\]\|\}\)]+"
+
 #: HTML tags that malformed wikitext leaves behind.
 LEFTOVER_TAGS = "table tr td th tbody thead tfoot caption b i u s em strong br hr p div span center small big sub sup font blockquote poem"
 
@@ -53,8 +64,7 @@ def lower_ascii(x: Column) -> Column:
 
 def category_links(text: Column, namespace: str) -> Column:
     """Titles in [[namespace:Title|sort key]], in order, trimmed."""
-    pattern = rf"(?U)\[\[\s*{quoted(namespace)}\s*:\s*([^\]\|]+?)\s*(?:\|[^\]]*)?\]\]"
-    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), utrim)
+    return F.transform(F.regexp_extract_all(text, F.lit(CATEGORY_LINK.replace("{}", quoted(namespace))), F.lit(1)), utrim)
 
 
 def direct_categories(text: Column, namespace: str) -> Column:
@@ -106,7 +116,7 @@ def leaf_number(title: Column) -> Column:
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    pattern = rf"(?iU)\b{name}\s*=\s*(?:\"([^\"]*)\"|([^\s/>]+))"
+    pattern = TAG_ATTRIBUTE.replace("{}", name)
     return F.nullif(F.coalesce(F.nullif(F.regexp_extract(tag, pattern, 1), F.lit("")), F.regexp_extract(tag, pattern, 2)), F.lit(""))
 
 
@@ -126,7 +136,7 @@ def include_numbers(x: Column) -> Column:
 
 def transclusion_ranges(text: Column) -> Column:
     """Of each <pages> tag with an index: index_title, from_n, to_n, include."""
-    tags = F.regexp_extract_all(text, F.lit(r"(?iU)<pages[.\s][^>]*>"), F.lit(0))
+    tags = F.regexp_extract_all(text, F.lit(PAGES_TAG), F.lit(0))
     made = F.transform(
         tags,
         lambda t: F.struct(
@@ -138,8 +148,8 @@ def transclusion_ranges(text: Column) -> Column:
 
 def first_attribute_indexes(text: Column) -> Column:
     """Indexes of <pages> tags whose first attribute is the index."""
-    pattern = r"(?iU)<pages[.\s]index\s*=\s*(?:\"([^\"]*)\"|([^\s/>]+))"
-    both = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda t: utrim(F.coalesce(F.nullif(F.regexp_extract(t, pattern, 1), F.lit("")), F.regexp_extract(t, pattern, 2))))
+    tags = F.regexp_extract_all(text, F.lit(PAGES_INDEX_FIRST), F.lit(0))
+    both = F.transform(tags, lambda t: utrim(F.coalesce(F.nullif(F.regexp_extract(t, PAGES_INDEX_FIRST, 1), F.lit("")), F.regexp_extract(t, PAGES_INDEX_FIRST, 2))))
     return F.array_distinct(F.filter(both, lambda t: t != ""))
 
 
@@ -148,8 +158,8 @@ def first_attribute_indexes(text: Column) -> Column:
 
 def transclusion_body(text: Column) -> Column:
     """What a template's page gives where it is used: only onlyinclude parts if any, else without noinclude parts and includeonly tags."""
-    only = F.regexp_extract_all(text, F.lit(r"(?is)<onlyinclude\s*>(.*?)</onlyinclude>"), F.lit(1))
-    rest = F.regexp_replace(F.regexp_replace(text, r"(?is)<noinclude\s*/?>.*?</noinclude>|<noinclude\s*/>", ""), r"(?i)</?includeonly\s*/?>", "")
+    only = F.regexp_extract_all(text, F.lit(ONLYINCLUDE), F.lit(1))
+    rest = F.regexp_replace(F.regexp_replace(text, NOINCLUDE, ""), INCLUDEONLY_TAGS, "")
     return F.when(F.size(only) > 0, F.array_join(only, "")).otherwise(rest)
 
 
@@ -164,7 +174,7 @@ def strip_leftover_tags(text: Column) -> Column:
 
 def redirect_target(text: Column) -> Column:
     """Target of a redirecting wikitext, or null."""
-    return F.nullif(utrim(F.regexp_extract(text, r"^\s*#\s*\S[^\[\]\n]{0,60}?\[\[([^\]|\n]+)", 1)), F.lit(""))
+    return F.nullif(utrim(F.regexp_extract(text, REDIRECT, 1)), F.lit(""))
 
 
 NAV_LENGTH, NAV_RUN = 40, 5
@@ -210,7 +220,7 @@ def page_url(base: str, title: Column) -> Column:
 
 
 def urls_in(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(r"https?://[^\s\]\|\}\)]+"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(URL), F.lit(0))
 
 
 def url_host(url: Column) -> Column:
