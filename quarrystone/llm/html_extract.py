@@ -55,6 +55,8 @@ _GROUPS = (
     ("main", "main content article post entry story text body page blog news hentry single prose"),
 )
 TOKENS = {w: k for k, (_, words) in enumerate(_GROUPS) for w in words.split()}
+#: Words that others begin with: commentlist, sidebarleft.
+_STEMS = sorted((w for w in TOKENS if len(w) >= 6), key=len, reverse=True)
 _TAGS = ("p", "div", "article", "main", "section", "nav", "header", "footer", "aside", "form", "ul", "li", "table", "td", "blockquote", "heading", "figure", "pre", "body", "#text")
 _TAG_AT = {t: k for k, t in enumerate(_TAGS)} | {f"h{k}": _TAGS.index("heading") for k in range(1, 7)} | {"ol": _TAGS.index("ul"), "dl": _TAGS.index("ul"), "dd": _TAGS.index("li"), "dt": _TAGS.index("li"), "th": _TAGS.index("td"), "figcaption": _TAGS.index("figure"), "html": _TAGS.index("body")}
 
@@ -152,7 +154,9 @@ def _tokens(attributes: str) -> int:
     for m in _ATTR.finditer(attributes):
         value = re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "")
         for w in _WORD.findall(value.lower()):
-            if (k := TOKENS.get(w)) is not None:
+            if (k := TOKENS.get(w)) is None:
+                k = next((TOKENS[stem] for stem in _STEMS if w.startswith(stem)), None)
+            if k is not None:
                 out |= 1 << k
     return out
 

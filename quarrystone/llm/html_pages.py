@@ -33,7 +33,7 @@ class _Writer:
         if r.random() > share:
             return ""
         name = r.choice(names.split())
-        name = r.choice([name, name, f"{name}-{r.choice(['box', 'wrap', 'area', 'inner', 'block', 'list'])}", f"{r.choice(['site', 'page', 'the', 'js'])}-{name}", f"{name} {r.choice(['col-3', 'row', 'wide', 'clearfix'])}"])
+        name = r.choice([name, name, f"{name}-{r.choice(['box', 'wrap', 'area', 'inner', 'block', 'list'])}", f"{name}{r.choice(['list', 's', 'left', 'bar'])}", f"{r.choice(['site', 'page', 'the', 'js'])}-{name}", f"{name} {r.choice(['col-3', 'row', 'wide', 'clearfix'])}"])
         return f' {r.choice(["class", "class", "id"])}="{name}"'
 
     def links(self) -> str:
@@ -51,7 +51,7 @@ class _Writer:
 
     def header(self) -> str:
         r = self.r
-        inside = "".join(r.sample([f"<h1>{self.words(1, 4)}</h1>", f"<p>{self.sentence(2, 9)}</p>", self.menu(), f"<div>{self.link()}</div>", f"<span>{self.words(1, 3)}</span>"], r.randint(1, 3)))
+        inside = "".join(r.sample([f"<h1>{self.words(1, 4)}</h1>", f"<h1>{self.link(1, 4)}</h1>", f"<p>{self.sentence(2, 9)}</p>", self.menu(), f"<div>{self.link()}</div>", f"<span>{self.words(1, 3)}</span>"], r.randint(1, 3)))
         return self.boxed("header header div", "header masthead topbar branding", inside, 0.9)
 
     def footer(self) -> str:
@@ -120,9 +120,10 @@ class _Writer:
         r = self.r
         pieces = [self.piece() for _ in range(r.choice([1, 1, 2, 3, 6, 12, 25]))]
         title = f"<h1>{MARKER}{self.words(1, 12)}{r.choice(['', '.'])}</h1>" if r.random() < 0.8 else ""
-        if title and r.random() < 0.15:
+        semantic = r.random() < 0.4
+        if title and semantic and r.random() < 0.2:
             title = f"<header>{title}</header>"
-        for extra, share in ((self.advert, 0.2), (self.share, 0.15), (self.side, 0.06), (self.notice, 0.06), (self.form, 0.05)):
+        for extra, share in ((self.advert, 0.2), (self.share, 0.15), (self.side, 0.08), (self.notice, 0.1), (self.form, 0.15)):
             if r.random() < share:
                 pieces.insert(r.randint(0, len(pieces)), extra())
         inside = title + "".join(pieces)
@@ -132,8 +133,8 @@ class _Writer:
             inside += f"<footer>{r.choice([self.words(1, 6), self.links(), self.sentence()])}</footer>"
         if r.random() < 0.1:
             inside = inside.replace("</p>", "")
-        kind = r.random()
-        if kind < 0.4:
+        kind = 0.0 if semantic else r.uniform(0.4, 1)
+        if semantic:
             return f"<article{self.named('article post entry story hentry', 0.3)}>{inside}</article>"
         if kind < 0.85:
             tag = r.choice(["div", "div", "main", "section", "td"])
@@ -154,7 +155,7 @@ class _Writer:
         if r.random() < 0.15:
             main = f"<main>{main}</main>"
         body = "".join(before) + main + "".join(after)
-        if r.random() < 0.04:
+        if r.random() < 0.02:
             body = f"<form id=page>{body}</form>"
         if r.random() < 0.25:
             body = f"<div{self.named('wrapper container page layout', 0.7)}>{body}</div>"
