@@ -101,6 +101,7 @@ class Words:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a local one only where none is set, as in tests."""
+    small_batches(spark)
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not found:
@@ -110,6 +111,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Bytes of an Arrow batch. Texts are long, and several copies of a batch are alive at once in the JVM and in Python.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's limit of bytes to an Arrow batch to BATCH_BYTES, if it is larger."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).removesuffix("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 #: Paths written in each open scope.
 _OPEN: list[list[str]] = []
 
