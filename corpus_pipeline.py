@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrystone.llm import bpe, decontaminate, lines, minhash, toxicity
-from quarrystone.llm.shared import written
+from quarrystone.llm.shared import small_batches, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -26,6 +26,7 @@ def _with_text(found: DataFrame, text: str, columns: list[str]) -> DataFrame:
 
 def toxic_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the threshold of toxicity."""
+    small_batches(spark)
     net = toxicity.learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, net).where(F.col("__score") < toxicity.THRESHOLD).drop("__score")
 
@@ -38,11 +39,13 @@ def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def copies_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, by shingles of five words."""
+    small_batches(spark)
     return minhash.without_duplicates(docs)
 
 
 def benchmark_goes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of the benchmark; documents go if no word is left."""
+    small_batches(spark)
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), clean=True, carry=rest)
     return _with_text(found.where((F.col("n_hit") == 0) | (F.col("n_hit") < F.col("n_words"))), "clean", docs.columns)
@@ -50,6 +53,7 @@ def benchmark_goes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Numbers of tokens and digests of the ids and of the bytes decoded from them."""
+    small_batches(spark)
     import public_tokenizers as P
 
     return bpe.digest(bpe.encode(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN))
