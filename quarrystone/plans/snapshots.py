@@ -91,8 +91,24 @@ SELECT CAST(g AS BIGINT) AS "group", item, CASE WHEN del THEN 'removed' ELSE 'ad
 WHERE NOT (del AND (add OR coalesce((SELECT p.add AND NOT p.del FROM q p WHERE p.item = l.item AND p.g = l.g AND p.m < l.m ORDER BY p.m DESC LIMIT 1), false)))
 """)
 def net_changes_quarterly(t: Tables):
-    """Additions and removals of customers by month, netted by quarter."""
-    own = t.orders.where((F.col("o_orderstatus") != "P") & (F.col("o_orderdate") < F.to_timestamp(F.lit("1997-01-01"))))
+    """Additions and removals of customers by month before 1997, netted by quarter."""
+    return _netted_by_quarter(t.orders.where(F.col("o_orderdate") < F.to_timestamp(F.lit("1997-01-01"))))
+
+
+@query("""
+WITH e AS (SELECT o_custkey AS item, date_trunc('month', o_orderdate) AS m, bool_or(o_orderstatus = 'F') AS add, bool_or(o_orderstatus = 'O') AS del, max(CAST(round(o_totalprice) AS BIGINT)) AS v
+  FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL),
+q AS (SELECT item, m, add, del, v, quarter(m) + 4 * (year(m) - 1995) - 1 AS g FROM e),
+f AS (SELECT *, coalesce(lag(add AND NOT del) OVER w, false) AS was_added, row_number() OVER (PARTITION BY g, item ORDER BY m DESC) AS k FROM q WINDOW w AS (PARTITION BY g, item ORDER BY m))
+SELECT CAST(g AS BIGINT) AS "group", item, CASE WHEN del THEN 'removed' ELSE 'added' END AS status, v AS bytes FROM f WHERE k = 1 AND NOT (del AND (add OR was_added))
+""")
+def net_changes_all_quarters(t: Tables):
+    """The same of all orders."""
+    return _netted_by_quarter(t.orders)
+
+
+def _netted_by_quarter(orders):
+    own = orders.where("o_orderstatus <> 'P'")
     month = F.date_trunc("month", "o_orderdate")
     both = own.groupBy(F.col("o_custkey").alias("item"), month.alias("m")).agg(F.bool_or(F.col("o_orderstatus") == "F").alias("add"), F.bool_or(F.col("o_orderstatus") == "O").alias("del"), F.max(F.round("o_totalprice").cast("bigint")).alias("v"))
     kinds = F.array_compact(F.array(F.when(F.col("add"), F.lit("added")), F.when(F.col("del"), F.lit("removed"))))
