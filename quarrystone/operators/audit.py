@@ -55,10 +55,15 @@ def red_links(mentioned: DataFrame, pages: DataFrame) -> DataFrame:
     return mentioned.groupBy("title").agg(F.count(F.lit(1)).alias("n_mentions")).join(pages.select("title").distinct(), "title", "left_anti")
 
 
-def bulk_imports(pages: DataFrame, repositories: tuple[str, ...] = REPOSITORIES, header: str = SOURCE_HEADER) -> DataFrame:
-    """(title, n_urls, repo_hits) of pages nearly all of whose URLs are of text collections, or with a source header and such a URL."""
+def bulk_imports(pages: DataFrame, repositories: tuple[str, ...] | DataFrame = REPOSITORIES, header: str = SOURCE_HEADER) -> DataFrame:
+    """(title, n_urls, repo_hits) of pages nearly all of whose URLs are of text collections, or with a source header and such a URL. The collections' hosts are given, or a table (host)."""
     hosts = F.transform(urls_in(F.col("text")), url_host)
-    out = pages.select("title", "text", hosts.alias("hosts")).select("title", F.size("hosts").alias("n_urls"), F.size(F.filter("hosts", lambda h: h.isin(list(repositories)))).alias("repo_hits"), F.col("text").rlike(header).alias("headed"))
+    out = pages.select("title", "text", hosts.alias("hosts")).select("title", "hosts", F.size("hosts").alias("n_urls"), F.col("text").rlike(header).alias("headed"))
+    if isinstance(repositories, DataFrame):
+        each = out.withColumn("__page", F.monotonically_increasing_id()).select("__page", "title", "n_urls", "headed", F.explode("hosts").alias("host"))
+        out = each.join(repositories.select("host").distinct(), "host", "left_semi").groupBy("__page", "title", "n_urls", "headed").agg(F.count(F.lit(1)).cast("int").alias("repo_hits"))
+    else:
+        out = out.withColumn("repo_hits", F.size(F.filter("hosts", lambda h: h.isin(list(repositories)))))
     return out.where((F.col("repo_hits") > 0) & ((F.col("repo_hits") >= F.greatest(F.lit(1), F.col("n_urls") - 1)) | F.col("headed"))).select("title", "n_urls", "repo_hits")
 
 

@@ -77,10 +77,10 @@ SELECT CAST(page_id AS VARCHAR) AS title, CAST(CASE WHEN page_id % 2 = 0 THEN 2
 WHERE host LIKE '%.com' AND host IN (SELECT host FROM u WHERE host LIKE '%.com' ORDER BY host LIMIT 400) AND (page_id % 2 = 0 OR page_id % 3 = 0)
 """)
 def bulk_import(t: Tables):
-    hosts = [r[0] for r in t.pages.select(X.url_host(F.col("url")).alias("host")).where("host like '%.com'").orderBy("host").limit(400).collect()]
+    hosts = t.pages.select(X.url_host(F.col("url")).alias("host")).where("host like '%.com'")
     other = F.expr("if(page_id % 2 = 0, ' http://other.test/x', ' http://other.test/x http://b.test http://c.test/y).')")
     pages = t.pages.select(F.col("page_id").cast("string").alias("title"), F.concat(F.lit("see ["), "url", F.lit(" it]"), other, F.expr("if(page_id % 3 = 0, '\n== Source ==\n', '')")).alias("text"))
-    return audit.bulk_imports(pages, tuple(hosts))
+    return audit.bulk_imports(pages, hosts)
 
 
 @query("""
