@@ -8,7 +8,7 @@ its tokens. A URL that a mined rule fits is blocked, unless a stated rule says o
 
 Defined results: null and URLs without `://` have an empty host and path and no tokens, which no
 rule fits; repeated rows are judged each; without labels there are no mined rules; other columns are
-left out. Rules are mined from about `max_labelled` labelled rows, taken by hash; the index goes to
+left out. Rules are mined from all labelled rows; the index goes to
 the executors in blocks of at most RULES_AT_ONCE rules, each a pass over the URLs.
 """
 
@@ -78,17 +78,13 @@ def tokens(url: Column) -> Column:
     return F.when(F.locate("://", url) > 0, F.array_distinct(found)).otherwise(F.expr("cast(array() as array<string>)"))
 
 
-def mine(labelled: DataFrame, max_labelled: int = 20_000, min_support: float = 0.003, min_confidence: float = 0.6, too_common: float = 0.5) -> list[Mined]:
-    """Rules from rows of `tokens` and `bad`. Tokens that more than `too_common` of the sample have tell nothing and are left out."""
-    total = labelled.count()
-    if not total:
-        return []
-    share = int(min(1.0, max_labelled / total) * (1 << 30))
-    sample = written(labelled.where(F.pmod(F.xxhash64(F.array_join("tokens", " ")), F.lit(1 << 30)) < share))
-    n = sample.count()
-    common = [r[0] for r in sample.select(F.explode("tokens").alias("t")).groupBy("t").count().where(F.col("count") > too_common * n).select("t").collect()]
+def mine(labelled: DataFrame, min_support: float = 0.003, min_confidence: float = 0.6, too_common: float = 0.5) -> list[Mined]:
+    """Rules from rows of `tokens` and `bad`. Tokens that more than `too_common` of the rows have tell nothing and are left out."""
+    rows = written(labelled)
+    n = rows.count()
+    common = [r[0] for r in rows.select(F.explode("tokens").alias("t")).groupBy("t").count().where(F.col("count") > too_common * n).select("t").collect()]
     items = F.array_except("tokens", F.array(*[F.lit(x) for x in common]).cast("array<string>"))
-    baskets = sample.select(F.when(F.col("bad"), F.array_append(items, F.lit(BAD))).otherwise(items).alias("items")).where(F.size("items") > 0)
+    baskets = rows.select(F.when(F.col("bad"), F.array_append(items, F.lit(BAD))).otherwise(items).alias("items")).where(F.size("items") > 0)
     if not n or baskets.isEmpty():
         return []
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)

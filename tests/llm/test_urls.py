@@ -51,3 +51,12 @@ def test_mined_rules(spark, monkeypatch):
     verdicts = {r.page_id: r.verdict for r in urls.judge(df, [], mined).collect()}
     assert sum((verdicts[k] == "block") == bad for k, _, bad in rows) > 0.95 * len(rows)
     assert urls.mine(labelled.limit(0)) == []
+
+
+def test_rules_of_hot_lists_among_many_rows(spark):
+    # eight lists of tokens, each of one bad host, are 80 % of 40,000 rows
+    df = spark.range(40_000).selectExpr("concat('http://', if(id % 10 < 8, concat('bad', id % 10), concat('good', id % 50)), '.test/x/', id) as url", "id % 10 < 8 as bad")
+    mined = urls.mine(df.select(urls.tokens(df.url).alias("tokens"), "bad"))
+    found = {t for r in mined for t in r.tokens}
+    assert {f"host=bad{k}" for k in range(8)} <= found | {t.replace("site=", "host=").removesuffix(".test") for t in found}
+    assert {round(r.support, 6) for r in mined if any("bad" in t for t in r.tokens)} == {0.1}
