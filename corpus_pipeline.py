@@ -33,7 +33,7 @@ def toxic_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that stand elsewhere. Documents go if they lost lines and no word is left."""
-    found = lines.dedup_lines(docs, exact=True, left_words=1).where(~((F.col("__dropped") > 0) & (F.col("__left") == 0)))
+    found = lines.dedup_lines(docs, exact=True, left_words=1, short=True).where(~((F.col("__dropped") > 0) & (F.col("__left") == 0)))
     return _with_text(found, "text", docs.columns)
 
 

@@ -35,7 +35,7 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.judged(table(spark, sf_dir, "documents"))
+    return lines.judged(table(spark, sf_dir, "documents"), short=True)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
