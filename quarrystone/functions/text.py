@@ -237,12 +237,38 @@ def display_bytes(transliterated: Column, content: Column, raw: Column) -> Colum
 
 
 def _fixed(x: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f", x.cast("double"))
+    """A number of 0 and more to so many digits: the exact value of the double is rounded, halves up.
+
+    x * 10**digits is taken as an exact sum of two doubles, by splitting x into halves of its bits.
+    """
+    x, scale = x.cast("double"), float(10**digits)
+    wide = x * F.lit(134217729.0)
+    high = wide - (wide - x)
+    low = x - high
+    near = x * F.lit(scale)
+    rest = (high * F.lit(scale) - near) + low * F.lit(scale)
+    whole = F.floor(near)
+    k = whole + (((near - whole) - F.lit(0.5)) + rest >= 0).cast("bigint")
+    if not digits:
+        return k.cast("string")
+    unit = F.lit(10**digits)
+    return F.concat(F.floor(k / unit).cast("string"), F.lit("."), F.lpad(F.pmod(k, unit).cast("string"), digits, "0"))
 
 
 def format_bytes(n: Column) -> Column:
     """12.3 KB or 4.5 MB, decimal."""
-    return F.when(n.isNull(), "").when(n < 1_000_000, F.concat(_fixed(n / 1e3, 1), F.lit(" KB"))).otherwise(F.concat(_fixed(n / 1e6, 1), F.lit(" MB")))
+    kb = n / F.lit(1e3)
+    return F.when(n.isNull(), "").when(kb < 1000, F.concat(_fixed(kb, 1), F.lit(" KB"))).otherwise(F.concat(_fixed(kb / F.lit(1e3), 1), F.lit(" MB")))
+
+
+def format_megabytes(n: Column) -> Column:
+    return F.when(n.isNull(), "n/a").otherwise(F.concat(_fixed(n / F.lit(1e6), 1), F.lit(" MB")))
+
+
+def axis_bytes(n: Column) -> Column:
+    """A scale's label: whole MB, or GB from 1,000 MB on."""
+    mb = n / F.lit(1e6)
+    return F.when(mb >= 1000, F.concat(_fixed(mb / F.lit(1e3), 1), F.lit(" GB"))).otherwise(F.concat(_fixed(mb, 0), F.lit(" MB")))
 
 
 def format_bytes_compact(n: Column) -> Column:
@@ -250,8 +276,8 @@ def format_bytes_compact(n: Column) -> Column:
         F.when(n.isNull(), "n/a")
         .when(n == 0, "0")
         .when(n < 1_000, F.concat(n.cast("bigint").cast("string"), F.lit(" B")))
-        .when(n < 1_000_000, F.concat(_fixed(n / 1e3, 0), F.lit(" KB")))
-        .otherwise(F.concat(_fixed(n / 1e6, 1), F.lit(" MB")))
+        .when(n < 1_000_000, F.concat(_fixed(n / F.lit(1e3), 0), F.lit(" KB")))
+        .otherwise(F.concat(_fixed(n / F.lit(1e6), 1), F.lit(" MB")))
     )
 
 
@@ -272,6 +298,12 @@ def percent_change(delta: Column, base: Column) -> Column:
     return F.lit(100.0) * delta / F.nullif(base, F.lit(0))
 
 
+def change_text(percent: Column, old: Column) -> Column:
+    """How a figure has changed from its old reading; empty if unknown."""
+    arrow = F.when(percent >= 0, "↑").otherwise("↓")
+    return F.when(percent.isNull(), "").otherwise(F.concat(F.lit(" ("), arrow, F.lit(" "), _fixed(F.abs(percent), 1), F.lit("% from "), old, F.lit(")")))
+
+
 def stats_label(size: Column, texts: Column, pages: Column, date: Column) -> Column:
     """(size, n texts, n pages, month), without the parts that are null or empty."""
     plural = lambda n, one: F.when(n.isNotNull(), F.concat(n.cast("string"), F.lit(" "), F.when(n == 1, one).otherwise(one + "s")))
@@ -279,6 +311,20 @@ def stats_label(size: Column, texts: Column, pages: Column, date: Column) -> Col
     return F.when(size.isNull(), "").otherwise(F.concat(F.lit("("), parts, F.lit(")")))
 
 
+def html_escape(x: Column) -> Column:
+    """Text as it may stand in HTML, in quotes too; null is empty."""
+    out = F.coalesce(x.cast("string"), F.lit(""))
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        out = F.replace(out, F.lit(mark), F.lit(name))
+    return out
+
+
+def is_complete(content: Column, end: str = "</mediawiki>", within: int = 64) -> Column:
+    """Whether a file's last bytes hold the mark that ends it."""
+    data = content.cast("binary")
+    return F.coalesce(F.contains(F.decode(F.substring(data, -within, within), "ISO-8859-1"), F.lit(end)), F.lit(False))
+
+
 def tick_step(lo: Column, hi: Column, count: int) -> Column:
     """The step of a scale: 1, 2, 5 or 10 times a power of ten."""
     raw = (hi - lo) / count

@@ -40,30 +40,50 @@ def digit_normalise(t: Tables):
     return t.part.select("p_partkey", X.devanagari_digits(F.lit("0123456789")).alias("digits"), X.leaf_number(title).alias("n"), title.alias("title"))
 
 
-@query("""
-SELECT o_orderkey, CASE WHEN o_totalprice < 1e6 THEN printf('%.1f KB', CAST(round(o_totalprice) AS DOUBLE) / 1e3) ELSE printf('%.1f MB', CAST(round(o_totalprice) AS DOUBLE) / 1e6) END AS size,
-  '(' || CASE WHEN o_totalprice < 1e6 THEN printf('%.1f KB', CAST(round(o_totalprice) AS DOUBLE) / 1e3) ELSE printf('%.1f MB', CAST(round(o_totalprice) AS DOUBLE) / 1e6) END
-    || ', ' || (o_orderkey % 3) || CASE WHEN o_orderkey % 3 = 1 THEN ' text' ELSE ' texts' END || ', ' || strftime(o_orderdate, '%Y-%m') || ')' AS label
-FROM orders
-WHERE (CAST(round(o_totalprice) AS BIGINT) % 100) <> 50
+#: SQL of a number of 0 and more to one digit, halves up: printf rounds exact halves, which quarters with an odd numerator are, to even digits.
+def _tenths(x: str) -> str:
+    return f"printf('%.1f', CASE WHEN {x} * 4 = floor({x} * 4) AND CAST(floor({x} * 4) AS BIGINT) % 2 = 1 THEN {x} + 0.01 ELSE {x} END)"
+
+
+_SIZE = f"CASE WHEN n / 1e3 < 1000 THEN {_tenths('(n / 1e3)')} || ' KB' ELSE {_tenths('(n / 1e3 / 1e3)')} || ' MB' END"
+
+
+@query(f"""
+WITH o AS (SELECT o_orderkey, CAST(round(o_totalprice) AS BIGINT) AS n, strftime(o_orderdate, '%Y-%m') AS month FROM orders)
+SELECT o_orderkey, {_SIZE} AS size, '(' || {_SIZE} || ', ' || (o_orderkey % 3) || CASE WHEN o_orderkey % 3 = 1 THEN ' text' ELSE ' texts' END || ', ' || month || ')' AS label FROM o
 """)
 def size_labels(t: Tables):
     n = F.round("o_totalprice").cast("bigint")
-    own = t.orders.where(n % 100 != 50)  # halves are rounded differently
-    return own.select("o_orderkey", X.format_bytes(n).alias("size"), X.stats_label(n, F.col("o_orderkey") % 3, F.lit(None).cast("bigint"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("label"))
+    return t.orders.select("o_orderkey", X.format_bytes(n).alias("size"), X.stats_label(n, F.col("o_orderkey") % 3, F.lit(None).cast("bigint"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("label"))
 
 
-@query("""
-WITH s AS (SELECT o_orderkey, o_orderkey % 2000 AS a, o_custkey % 2000 AS b FROM orders)
-SELECT o_orderkey, CASE WHEN a = 0 OR b = 0 THEN ' (' || fa || '→' || fb || ')' WHEN fa = fb OR abs((b - a) * 100.0 / a) < 0.1 THEN ''
-  ELSE ' (' || fa || ' → ' || fb || ', ' || CASE WHEN b >= a THEN '↑' ELSE '↓' END || ')' END AS delta
-FROM (SELECT *, CASE WHEN a = 0 THEN '0' WHEN a < 1000 THEN a || ' B' ELSE printf('%.0f KB', a / 1000.0) END AS fa, CASE WHEN b = 0 THEN '0' WHEN b < 1000 THEN b || ' B' ELSE printf('%.0f KB', b / 1000.0) END AS fb FROM s)
-WHERE a <> 1500 AND b <> 1500
+@query(f"""
+WITH o AS (SELECT o_orderkey, CAST(round(o_totalprice) AS BIGINT) * 9999 AS n FROM orders)
+SELECT o_orderkey, {_tenths('(n / 1e6)')} || ' MB' AS megabytes, CASE WHEN n / 1e6 >= 1000 THEN {_tenths('(n / 1e6 / 1e3)')} || ' GB' ELSE CAST(CAST(floor(n / 1e6 + 0.5) AS BIGINT) AS VARCHAR) || ' MB' END AS axis FROM o
+""")
+def size_formats(t: Tables):
+    n = F.round("o_totalprice").cast("bigint") * 9999
+    return t.orders.select("o_orderkey", X.format_megabytes(n).alias("megabytes"), X.axis_bytes(n).alias("axis"))
+
+
+@query(f"""
+WITH s AS (SELECT o_orderkey, o_orderkey % 2000 AS a, o_custkey % 2000 AS b FROM orders),
+f AS (SELECT *, abs((b - a) / nullif(a, 0) * 100.0) AS p, CASE WHEN a = 0 THEN '0' WHEN a < 1000 THEN a || ' B' ELSE CAST(CAST(floor(a / 1000.0 + 0.5) AS BIGINT) AS VARCHAR) || ' KB' END AS fa,
+  CASE WHEN b = 0 THEN '0' WHEN b < 1000 THEN b || ' B' ELSE CAST(CAST(floor(b / 1000.0 + 0.5) AS BIGINT) AS VARCHAR) || ' KB' END AS fb FROM s)
+SELECT o_orderkey, CASE WHEN a = 0 OR b = 0 THEN ' (' || fa || '→' || fb || ')' WHEN fa = fb OR p < 0.1 THEN '' ELSE ' (' || fa || ' → ' || fb || ', ' || CASE WHEN b >= a THEN '↑' ELSE '↓' END || ' ' || {_tenths('p')} || '%)' END AS delta,
+  CASE WHEN a = 0 THEN '' ELSE ' (' || CASE WHEN b >= a THEN '↑' ELSE '↓' END || ' ' || {_tenths('p')} || '% from ' || fa || ')' END AS change FROM f
 """)
 def size_deltas(t: Tables):
     a, b = F.col("o_orderkey") % 2000, F.col("o_custkey") % 2000
-    shown = F.regexp_replace(X.size_delta(a, b), r" [0-9.]+%\)$", ")")  # percents are rounded in the last place differently
-    return t.orders.where((a != 1500) & (b != 1500)).select("o_orderkey", shown.alias("delta"))
+    percent = (b - a) / F.nullif(a, F.lit(0)) * F.lit(100.0)
+    return t.orders.select("o_orderkey", X.size_delta(a, b).alias("delta"), X.change_text(percent, X.format_bytes_compact(a)).alias("change"))
+
+
+@query("""
+SELECT page_id, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;') AS escaped, contains(right(html, 64), '</html>') AS complete FROM pages
+""")
+def escaped_pages(t: Tables):
+    return t.pages.select("page_id", X.html_escape(F.col("html")).alias("escaped"), X.is_complete(F.col("html"), "</html>").alias("complete"))
 
 
 @query("""
