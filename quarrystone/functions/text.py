@@ -319,6 +319,11 @@ def html_escape(x: Column) -> Column:
     return out
 
 
+def collated(title: Column) -> Column:
+    """A title to sort as people do: by the root order of Unicode, not by code points."""
+    return F.collate(title, "UNICODE")
+
+
 def is_complete(content: Column, end: str = "</mediawiki>", within: int = 64) -> Column:
     """Whether a file's last bytes hold the mark that ends it."""
     data = content.cast("binary")

@@ -214,6 +214,8 @@ def with_text(pages: DataFrame, templates: dict[str, str], known: set[str] = fro
     """Pages with `stripped`, `raw_bytes`, `content_bytes` and, if asked for, `transliterated_bytes`."""
     from .translit import transliterate
 
+    if sum(map(len, known)) > MAX_TEMPLATE_BYTES:
+        raise ValueError("more titles than a broadcast should hold")
     shared = pages.sparkSession.sparkContext.broadcast((templates, frozenset(known)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

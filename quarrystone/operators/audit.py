@@ -27,6 +27,9 @@ REPOSITORIES = (
 )
 SOURCE_HEADER = r"(?iU)={2,}\s*(स्रोतः|स्रोतम्|स्रोतस्|स्रोत|मूलपाठः|आधारः|Sources?)\s*={2,}"
 
+#: Fixed value: titles of a family, stem and rest.
+_SEPARATED = r"(?U)^(.+?)\s*[-–.]\s*(\S.*)$"
+
 
 def space_prefixes(titles: DataFrame) -> DataFrame:
     """(prefix, title): titles that begin with another title and a space. Prefixes are cut from the longer title and joined by equality."""
@@ -37,7 +40,7 @@ def space_prefixes(titles: DataFrame) -> DataFrame:
 
 def separator_families(titles: DataFrame, least: int = 2) -> DataFrame:
     """(stem, n) of titles stem-rest, stem–rest or stem.rest whose stem is a title, with at least `least` members."""
-    pattern = r"(?U)^(.+?)\s*[-–.]\s*(\S.*)$"
+    pattern = _SEPARATED
     stems = titles.where(F.col("title").rlike(pattern)).select("title", utrim(F.regexp_extract("title", pattern, 1)).alias("stem"))
     return stems.join(titles.select(F.col("title").alias("stem")).distinct(), "stem").groupBy("stem").agg(F.count_distinct("title").alias("n")).where(F.col("n") >= least)
 
@@ -87,6 +90,35 @@ def family_health(pages: DataFrame, tree: DataFrame, families: list[tuple[str, s
     return named.groupBy("f.family").agg(F.count_if("f.fits").alias("n_fits"), F.count_if(F.expr("f.fits and f.stray")).alias("n_unparented"))
 
 
+def family_problems(pages: DataFrame, tree: DataFrame, families: list[tuple[str, str]]) -> DataFrame:
+    """(family, problem, subject, n) of families (name, pattern) of titles without a slash among pages (title, redirect_target).
+
+    dead: no title fits; unparented: n fitting titles have no parent, the first is the subject; missing: a parent of n fitting titles is no
+    page; redirect: it is a redirect.
+    """
+    rows = pages.where(~F.col("title").contains("/")).select("title").join(tree.select("title", "parent"), "title", "left")
+    fits = F.filter(F.array(*[F.when(F.col("title").rlike("(?U)" + p), F.lit(n)) for n, p in families]), lambda x: x.isNotNull())
+    named = rows.select("title", "parent", F.explode(fits).alias("family"))
+    stray = named.where("parent is null").groupBy("family").agg(F.min("title").alias("subject"), F.count(F.lit(1)).alias("n")).select("family", F.lit("unparented").alias("problem"), "subject", "n")
+    there = pages.select(F.col("title").alias("subject"), F.lit(True).alias("there"), "redirect_target").dropDuplicates(["subject"])
+    ends = named.where("parent is not null").groupBy("family", F.col("parent").alias("subject")).agg(F.count(F.lit(1)).alias("n")).join(there, "subject", "left")
+    wrong = ends.where("there is null or redirect_target is not null").select("family", F.when(F.col("there").isNull(), "missing").otherwise("redirect").alias("problem"), "subject", "n")
+    every = pages.sparkSession.createDataFrame([(n,) for n, _ in families], "family string")
+    dead = every.join(named.select("family").distinct(), "family", "left_anti").select("family", F.lit("dead").alias("problem"), F.lit(None).cast("string").alias("subject"), F.lit(0).cast("bigint").alias("n"))
+    return stray.unionByName(wrong).unionByName(dead)
+
+
+def tagged_leaves(leaves: DataFrame) -> DataFrame:
+    """(title, categories) of leaves that have categories of their own, which belong to the index."""
+    return leaves.where(F.size("categories") > 0).select("title", F.array_sort(F.array_distinct("categories")).alias("categories"))
+
+
+def largest_groups(rows: DataFrame, group: str, k: int) -> DataFrame:
+    """(group, n, rank) of the k largest groups, ties by name. Only k rows are ranked."""
+    top = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), group).limit(k)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), group)))
+
+
 def token_groups(titles: DataFrame, least: int = 2) -> DataFrame:
     """(prefix, n, depth) of the prefixes by whole words that at least `least` titles share, without those that a longer one shares as widely."""
     parts = F.split("title", " ")

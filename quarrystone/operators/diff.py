@@ -45,6 +45,22 @@ def stats_report(old: DataFrame, new: DataFrame, columns: list[str]) -> DataFram
     return long(old, "old").join(long(new, "new"), "metric").select("metric", "old", "new", delta.alias("delta"), percent_change(delta, F.col("old")).alias("percent"))
 
 
+def full_report(old: DataFrame, new: DataFrame, columns: list[str]) -> DataFrame:
+    """(section, metric, old, new, delta, percent) of two snapshots, one row each with structs `root` and `all`: central is the root's
+    figures, all those with the orphans, or the root's where a snapshot has none."""
+    part = lambda df, name: df.select(F.coalesce(F.col("all"), F.col("root")).alias("s") if name == "all" else F.col("root").alias("s")).select("s.*")
+    sections = [stats_report(part(old, name), part(new, name), columns).select(F.lit(name).alias("section"), "*") for name in ("central", "all")]
+    return sections[0].unionByName(sections[1])
+
+
+def reconstruction_error(real: DataFrame, rebuilt: DataFrame, stats: tuple[DataFrame, DataFrame], columns: list[str]) -> DataFrame:
+    """(what, real, rebuilt, percent) of a rebuilt snapshot against the real one: metrics by `stats` (of each, one row), and how many items of the rosters are of each kind of change."""
+    metrics = stats_report(*stats, columns).select(F.col("metric").alias("what"), F.col("old").alias("real"), F.col("new").alias("rebuilt"), "percent")
+    total = real.agg(F.count(F.lit(1)).alias("real"))
+    kinds = classified(real, rebuilt).where("kind <> 'unchanged'").groupBy(F.concat(F.lit("items "), "kind").alias("what")).agg(F.count(F.lit(1)).alias("rebuilt"))
+    return metrics.unionByName(kinds.crossJoin(F.broadcast(total)).select("what", "real", "rebuilt", percent_change(F.col("rebuilt"), F.col("real")).alias("percent")))  # one row
+
+
 #: Order of events within a month.
 EVENTS = ("added", "removed", "categorized", "orphaned", "recategorized", "changed")
 _FIELDS = ("bytes", "date", "from", "to", "old", "new", "old_bytes", "new_bytes")
@@ -114,8 +130,13 @@ def trend_points(log: DataFrame, date: str = "date", old_date: str = "old_date",
 
 
 def nearest(points: DataFrame, queries: DataFrame, x: str = "x", at: str = "at") -> DataFrame:
-    """Per query position `at`: the nearest point's x. Both sides are short lists, as of a chart; points go to every task."""
-    return queries.crossJoin(F.broadcast(points)).groupBy(at).agg(F.min_by(x, F.struct(F.abs(F.col(x) - F.col(at)), F.col(x))).alias("nearest"))
+    """Per query position `at`: the nearest point's x, the lower one of two. Both sides are lists of a chart, sorted once together."""
+    both = points.select(F.col(x).alias("__at"), F.col(x).alias("__x"), F.lit(None).cast(queries.schema[at].dataType).alias(at)).unionByName(queries.select(F.col(at).alias("__at"), F.lit(None).cast(points.schema[x].dataType).alias("__x"), at).distinct())
+    order = Window.orderBy("__at")
+    low = F.last("__x", ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0))
+    high = F.first("__x", ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing))
+    found = both.withColumns({"__low": low, "__high": high}).where(F.col(at).isNotNull())
+    return found.select(at, F.when(F.col("__low").isNull() | (F.col("__high") - F.col(at) < F.col(at) - F.col("__low")), F.col("__high")).otherwise(F.col("__low")).alias("nearest"))
 
 
 def timeline(eras: DataFrame) -> DataFrame:

@@ -40,13 +40,37 @@ def orphan_roots(nodes: DataFrame, edges: DataFrame, root: str | None = None) ->
     return out if root is None else out.where(F.col("node") != root)
 
 
+def core(edges: DataFrame) -> DataFrame:
+    """The edges that may be on a cycle: nodes without a parent or without a child are taken away until none is left."""
+    left = staged(edges.select("parent", "child").where("parent is not null and child is not null").distinct())
+    n = left.count()
+    while True:
+        left = staged(left.join(left.select(F.col("parent").alias("child")).distinct(), "child", "left_semi").join(left.select(F.col("child").alias("parent")).distinct(), "parent", "left_semi").select("parent", "child"))
+        before, n = n, left.count()
+        if n == before:
+            return left
+
+
 def on_cycle(edges: DataFrame) -> DataFrame:
-    """Nodes that reach themselves by at least one edge."""
-    edges = staged(edges.select("parent", "child").distinct())
+    """Nodes that reach themselves by at least one edge. Only what may be on a cycle is closed."""
+    edges = core(edges)
     reach = closure(edges)
     return reach.join(edges, (reach["ancestor"] == edges["child"]) & (reach["node"] == edges["parent"])).select(F.col("ancestor").alias("node")).distinct()
 
 
+def cycle_paths(edges: DataFrame) -> DataFrame:
+    """(path): one cycle, from its first node back to it, for every back edge of a depth-first walk from all nodes in order, with children in order.
+
+    Such a walk comes to a node by the least simple path in order of its nodes, so that paths are found as in first_paths, from a root above all nodes.
+    """
+    own = core(edges)
+    above = own.select(F.explode(F.array("parent", "child")).alias("child")).distinct().select(F.lit("").alias("parent"), "child")
+    first = first_paths(own.unionByName(above), "")
+    back = own.join(first.select(F.col("node").alias("parent"), "path"), "parent").where(F.array_contains("path", F.col("child")))
+    at = F.array_position("path", F.col("child")).cast("int")
+    return back.select(F.concat(F.slice("path", at, F.size("path") - at + 1), F.array("child")).alias("path"))
+
+
 def multi_parented(edges: DataFrame, root: str | None = None) -> DataFrame:
     """(child, n_parents) of nodes with several parents."""
     out = edges.groupBy("child").agg(F.count_distinct("parent").alias("n_parents")).where("n_parents > 1")
@@ -108,3 +132,16 @@ def display_rows(edges: DataFrame, root: str) -> DataFrame:
     pointer = here != F.col("path")
     out = filed.select(F.when(pointer, F.concat("child", F.lit(":pointer"))).otherwise(F.col("child")).alias("id"), "parent", F.col("child").alias("node"), pointer.alias("is_pointer"), here.alias("path"))
     return out.unionByName(first.where(F.size("path") == 1).select(F.col("node").alias("id"), F.lit(None).cast("string").alias("parent"), "node", F.lit(False).alias("is_pointer"), "path"))
+
+
+def below(rows: DataFrame, node: str) -> DataFrame:
+    """The display rows under a node that has its content there, itself included: all that opening it to the end shows."""
+    start = rows.where((F.col("node") == node) & ~F.col("is_pointer")).select(F.col("path").alias("__start"))
+    return rows.crossJoin(F.broadcast(start)).where(F.slice("path", F.lit(1), F.size("__start")) == F.col("__start")).drop("__start")  # one row
+
+
+def flat_nodes(rows: DataFrame, filings: DataFrame) -> DataFrame:
+    """(id, title) of every node with a title: display rows, pointers aside, and the items filed under them (category, item)."""
+    shown = rows.where(~F.col("is_pointer"))
+    items = filings.join(shown.select(F.col("node").alias("category")), "category", "left_semi").select(F.col("item").alias("id"), F.col("item").alias("title"))
+    return shown.select("id", F.col("node").alias("title")).unionByName(items).distinct()

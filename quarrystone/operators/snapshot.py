@@ -45,8 +45,36 @@ def top_by_window(rows: DataFrame, windows: DataFrame, at: str, what: str, k: in
 
     Counts are made first; only they are ranked.
     """
+    return _ranked(in_windows(rows, windows, at).groupBy("name", F.col(what).alias("value")).agg(F.count(F.lit(1)).alias("n")), k)
+
+
+def _ranked(counted: DataFrame, k: int) -> DataFrame:
     from pyspark.sql import Window
 
-    counted = rows.join(F.broadcast(windows), (F.col(at) >= F.col("lo")) & (F.col(at) < F.col("hi"))).groupBy("name", F.col(what).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("name").orderBy(F.desc("n"), "value")
     return counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def in_windows(rows: DataFrame, windows: DataFrame, at: str) -> DataFrame:
+    """rows with the name of each half-open window (name, lo, hi) that they are in. Windows are cut into days, so that the join has an equality key."""
+    days = windows.select("name", "lo", "hi", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("__day"))
+    return rows.withColumn("__day", F.to_date(at)).join(days, "__day").where((F.col(at) >= F.col("lo")) & (F.col(at) < F.col("hi"))).drop("__day", "lo", "hi")
+
+
+#: Fixed value: characters of a comment that count.
+COMMENT_LENGTH = 70
+
+
+def burst_profile(revisions: DataFrame, windows: DataFrame, at: str = "timestamp", editors: int = 6, comments: int = 6, titles: int = 8) -> DataFrame:
+    """(name, what, value, n, rank) of revisions (at, editor, comment, title) in each window: how many revisions and different titles, the
+    most frequent editors, comments (their first COMMENT_LENGTH characters; none is empty) and titles, ties by value."""
+    own = in_windows(revisions, windows, at).select("name", "editor", F.coalesce(F.substring("comment", 1, COMMENT_LENGTH), F.lit("")).alias("comment"), "title")
+    out = None
+    counted = {c: own.groupBy("name", F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n")) for c in ("editor", "comment", "title")}
+    totals = own.groupBy("name").agg(F.count(F.lit(1)).alias("revisions"), F.count_distinct("title").alias("titles"))
+    for what in ("revisions", "titles"):
+        part = totals.select("name", F.lit(what).alias("what"), F.lit("").alias("value"), F.col(what).alias("n"), F.lit(1).alias("rank"))
+        out = part if out is None else out.unionByName(part)
+    for what, k in (("editor", editors), ("comment", comments), ("title", titles)):
+        out = out.unionByName(_ranked(counted[what], k).select("name", F.lit(what).alias("what"), "value", "n", "rank"))
+    return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import hierarchy, pages, snapshots, texts  # noqa: F401  they register
+from . import hierarchy, pages, reports, snapshots, texts  # noqa: F401  they register
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

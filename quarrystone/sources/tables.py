@@ -24,8 +24,16 @@ def write_json_gz(df: DataFrame, path: str) -> None:
     df.write.option("compression", "gzip").mode("overwrite").json(path)
 
 
-def read_text_index(spark: SparkSession, path: str) -> DataFrame:
-    """(ns, pageid, path, title) of a JSON-lines index; blank and malformed lines, and rows without a page, are skipped."""
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path names."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def read_text_index(spark: SparkSession, path: str) -> DataFrame | None:
+    """(ns, pageid, path, title) of a JSON-lines index; blank and malformed lines, and rows without a page, are skipped. None if there is no index: what has text is unknown then, which is not the same as nothing (see rollup.index_items)."""
+    if not exists(spark, path):
+        return None
     rows = spark.read.schema("ns string, pageid bigint, path string, title string").option("mode", "DROPMALFORMED").json(path)
     return rows.where("ns in ('main', 'index') and pageid is not null")
 

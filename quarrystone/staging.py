@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a local folder only where none is set, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+    """spark.checkpoint.dir. Where it is unset, a local folder if all runs on one machine, else an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return found or "file:///tmp/checkpoints"
 
 
 def staged(df: DataFrame) -> DataFrame:
