@@ -202,11 +202,12 @@ def all_children_share(t: Tables):
 
 
 @query("""
-SELECT DISTINCT p_name || ' ' || p_brand AS title, p_name AS prefix FROM part
+WITH t AS (SELECT p_name AS title FROM part UNION SELECT p_name || ' ' || p_brand FROM part)
+SELECT a.title, b.title AS prefix FROM t a JOIN t b ON starts_with(a.title, b.title || ' ')
 """)
 def prefix_families(t: Tables):
     titles = t.part.select(F.explode(F.array(F.col("p_name"), F.concat_ws(" ", "p_name", "p_brand"))).alias("title")).distinct()
-    return audit.space_prefixes(titles).where(F.col("title").contains("Brand"))
+    return audit.space_prefixes(titles)
 
 
 @query("""

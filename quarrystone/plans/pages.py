@@ -35,10 +35,10 @@ def category_edges(t: Tables):
 
 
 @query("""
-SELECT c_name AS title, c_mktsegment AS tag, c_mktsegment = 'BUILDING' OR contains(c_mktsegment, 'MACH') AS excluded FROM customer
+SELECT c_name AS title, c_mktsegment AS tag, c_mktsegment = 'BUILDING' OR contains(c_mktsegment, 'MACH') AS excluded FROM customer UNION ALL SELECT c_name, 'N' || c_nationkey, false FROM customer
 """)
 def excluded_categories(t: Tables):
-    tags = _wiki(t).select("title", F.explode(X.direct_categories(F.col("text"), "Cat")).alias("tag")).where("not tag rlike '^N[0-9]+$'")
+    tags = _wiki(t).select("title", F.explode(X.direct_categories(F.col("text"), "Cat")).alias("tag"))
     return tags.select("title", "tag", X.is_excluded(F.concat(F.lit("Cat:"), "tag"), ("BUILDING",), ("MACH",)).alias("excluded"))
 
 
@@ -74,7 +74,7 @@ def url_host_stats(t: Tables):
 @query("""
 WITH u AS (SELECT page_id, url, regexp_replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), '^www[.]', '') AS host FROM pages)
 SELECT CAST(page_id AS VARCHAR) AS title, CAST(CASE WHEN page_id % 2 = 0 THEN 2 ELSE 4 END AS INTEGER) AS n_urls, 1 AS repo_hits FROM u
-WHERE host LIKE '%.com' AND host IN (SELECT host FROM u WHERE host LIKE '%.com' ORDER BY host LIMIT 400) AND (page_id % 2 = 0 OR page_id % 3 = 0)
+WHERE host LIKE '%.com' AND host IN (SELECT host FROM u WHERE host LIKE '%.com') AND (page_id % 2 = 0 OR page_id % 3 = 0)
 """)
 def bulk_import(t: Tables):
     hosts = t.pages.select(X.url_host(F.col("url")).alias("host")).where("host like '%.com'")

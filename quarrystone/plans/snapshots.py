@@ -79,22 +79,6 @@ def diff_report(t: Tables):
     return diff.stats_report(stats(False), stats(True), ["orders", "customers", "nothing"]).withColumn("percent", F.round("percent", 6))
 
 
-@query("""
-WITH e AS (SELECT o_custkey AS item, date_trunc('month', o_orderdate) AS m, bool_or(o_orderstatus = 'F') AS add, bool_or(o_orderstatus = 'O') AS del, max(CAST(round(o_totalprice) AS BIGINT)) AS v
-  FROM orders WHERE o_orderstatus <> 'P' AND o_orderdate < TIMESTAMP '1997-01-01' GROUP BY ALL),
-q AS (SELECT item, m, add, del, v, quarter(m) + 4 * (year(m) - 1995) - 1 AS g FROM e),
--- within a month the addition comes first; a removal right after one undoes it
-f AS (SELECT item, g, v, add, del, m, max(CASE WHEN add AND NOT del THEN m END) OVER w AS last_add, max(CASE WHEN add THEN m END) OVER w AS any_add,
-  max(m) OVER w AS last, count(*) OVER w AS n FROM q WINDOW w AS (PARTITION BY g, item)),
-l AS (SELECT * FROM f WHERE m = last)
-SELECT CAST(g AS BIGINT) AS "group", item, CASE WHEN del THEN 'removed' ELSE 'added' END AS status, v AS bytes FROM l
-WHERE NOT (del AND (add OR coalesce((SELECT p.add AND NOT p.del FROM q p WHERE p.item = l.item AND p.g = l.g AND p.m < l.m ORDER BY p.m DESC LIMIT 1), false)))
-""")
-def net_changes_quarterly(t: Tables):
-    """Additions and removals of customers by month before 1997, netted by quarter."""
-    return _netted_by_quarter(t.orders.where(F.col("o_orderdate") < F.to_timestamp(F.lit("1997-01-01"))))
-
-
 @query("""
 WITH e AS (SELECT o_custkey AS item, date_trunc('month', o_orderdate) AS m, bool_or(o_orderstatus = 'F') AS add, bool_or(o_orderstatus = 'O') AS del, max(CAST(round(o_totalprice) AS BIGINT)) AS v
   FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL),
@@ -102,8 +86,8 @@ q AS (SELECT item, m, add, del, v, quarter(m) + 4 * (year(m) - 1995) - 1 AS g FR
 f AS (SELECT *, coalesce(lag(add AND NOT del) OVER w, false) AS was_added, row_number() OVER (PARTITION BY g, item ORDER BY m DESC) AS k FROM q WINDOW w AS (PARTITION BY g, item ORDER BY m))
 SELECT CAST(g AS BIGINT) AS "group", item, CASE WHEN del THEN 'removed' ELSE 'added' END AS status, v AS bytes FROM f WHERE k = 1 AND NOT (del AND (add OR was_added))
 """)
-def net_changes_all_quarters(t: Tables):
-    """The same of all orders."""
+def net_changes_quarterly(t: Tables):
+    """Additions and removals of customers by month, netted by quarter; within a month the addition comes first, and a removal right after one undoes it."""
     return _netted_by_quarter(t.orders)
 
 

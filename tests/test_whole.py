@@ -24,7 +24,7 @@ def test_net_changes_of_all_quarters(spark):
                 del state[at]
             else:
                 state[at] = ("removed", price)
-    got = catalog.QUERIES["net_changes_all_quarters"](spark, FOLDER).collect()
+    got = catalog.QUERIES["net_changes_quarterly"](spark, FOLDER).collect()
     assert sorted(map(tuple, got)) == sorted((*k, *v) for k, v in state.items()) and max(r[0] for r in got) > 8
 
 
