@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import sent
+
 NONE = 1 << 62
 #: Matches kept by a worker in each of two generations; longer ones than LONG characters are not kept.
 KEEP, LONG = 200_000, 64
@@ -126,7 +128,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     The rank table (some 50,000 tokens, whatever the corpus) is broadcast.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    shared = sent(docs.sparkSession, read_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value, pattern)

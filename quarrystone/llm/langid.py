@@ -8,8 +8,11 @@ the second is not clearly farther, the answer is flagged as ambiguous.
 
 Defined results: null text and text without any letter give `und` with score 0; without rows to
 learn from every text gives `und`, and with one language only that one; repeated rows are judged each,
-ties go to the first language in order; other columns are left out. The model is fitted on about
-MAX_ROWS labelled rows, taken by hash, however large the corpus; it is applied to whole texts.
+ties go to the first language in order; other columns are left out.
+
+The model is fitted on a bounded sample of the labelled rows, however large the corpus: about MAX_ROWS rows,
+taken by a hash of the id, of texts of at most LONGEST characters, and of MAX_BYTES bytes at most in all. It is
+applied to whole texts of any length.
 """
 
 from __future__ import annotations
@@ -23,9 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import LOWER, buffers, chunks
+from .shared import LOWER, buffers, chunks, fitted, sent
 
-MAX_ROWS, FOLDS, HELD_OUT = 4000, 3, 1
+#: Bounds of what is learned from: rows, characters of a text, bytes of all texts.
+MAX_ROWS, LONGEST, MAX_BYTES = 4000, 20_000, 48 << 20
+FOLDS, HELD_OUT = 3, 1
 #: Hashed triples; pairs have a weight each.
 TRIPLES = 1 << 15
 FEATURES = (1 << 16) + TRIPLES
@@ -135,24 +140,19 @@ def fit(texts: list[str], languages: list[str], epochs: int = 12, seed: int = 3)
     return model
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_rows: int) -> list:
-    """About max_rows rows (text, lang) from outside the held-out fold, by hash of the id."""
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (fold(F.col(id_col)) != HELD_OUT)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    total = known.select("id").count()
-    share = int(min(1.0, max_rows / max(total, 1)) * (1 << 30))
-    # the longest texts say no more about a language than others; what the driver gets is bounded in rows and in bytes
-    return known.where((F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share) & (F.length("text") <= 20_000)).select("text", "lang").sort("id").limit(2 * max_rows).collect()
-
-
-def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS) -> Model:
-    rows = sample(docs, id_col, text_col, lang_col, max_rows)
-    return fit([r[0] for r in rows], [r[1] for r in rows])
+def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS, longest: int = LONGEST, max_bytes: int = MAX_BYTES) -> Model:
+    """A model from a sample of the rows with text and language outside the held-out fold, fitted in one task of an executor."""
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (fold(F.col(id_col)) != HELD_OUT)).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"))
+    by = F.xxhash64(F.col("id").cast("string"))
+    share = int(min(1.0, max_rows / max(known.select("id").count(), 1)) * (1 << 30))
+    few = known.where((F.pmod(by, F.lit(1 << 30)) < share) & (F.length("text") <= longest)).sort(by, "id", "text", "lang").limit(2 * max_rows).select("text", "lang")
+    return fitted(few, lambda rows: fit([r["text"] for r in rows], [r["lang"] for r in rows]), max_bytes)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: its id, `lang_pred`, `score`, `ambiguous`."""
     kind = docs.schema[id_col].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = sent(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex

@@ -7,14 +7,18 @@ its own), which bounds the memory of a Python worker.
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 CHUNK = 1 << 20
 _MULT = 0x9E3779B97F4A7C15
@@ -100,11 +104,13 @@ class Words:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where none is set, as in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local one if all runs on one machine, else an error."""
     small_batches(spark)
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file:///tmp/checkpoints"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(found)
@@ -123,8 +129,28 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
-#: Paths written in each open scope.
-_OPEN: list[list[str]] = []
+class Scope:
+    """What is written and broadcast until its end."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+        self.values: list[Broadcast] = []
+
+
+#: The scopes that are open in this thread, the outermost first.
+_OPEN: ContextVar[tuple[Scope, ...]] = ContextVar("open", default=())
+
+
+@contextmanager
+def _tidy(spark: SparkSession) -> Iterator[None]:
+    """Lets shuffle files go when the execution inside ends: what it has written is read instead."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -134,39 +160,87 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if _OPEN:
-        _OPEN[-1].append(path)
+    with _tidy(spark):
+        df.write.parquet(path)
+    if _OPEN.get():
+        _OPEN.get()[-1].paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sent(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast of value, which goes when the scope ends; outside of scopes, when no plan has it any more."""
+    out = spark.sparkContext.broadcast(value)
+    if _OPEN.get():
+        _OPEN.get()[-1].values.append(out)
+    return out
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
-    """Deletes what is written inside when it ends, but for what the function that it gives has written.
+    """Deletes what is written and broadcast inside when it ends, but for what the function that it gives has written.
 
-    Spark drops the shuffle files of plans that have ended when the driver's JVM collects its garbage; that is asked for here.
+    Shuffle files of other plans go when the driver's JVM collects its garbage; that is asked for here.
     """
-    paths: list[str] = []
-    _OPEN.append(paths)
+    own, before = Scope(), _OPEN.get()
 
     def keep(df: DataFrame) -> DataFrame:
         out = written(df)
-        kept = paths.pop()
-        if len(_OPEN) > 1:
-            _OPEN[-2].append(kept)
+        kept = own.paths.pop()
+        if before:
+            before[-1].paths.append(kept)
         return out
 
+    token = _OPEN.set((*before, own))
     try:
         yield keep
     finally:
-        _OPEN.pop()
+        _OPEN.reset(token)
         jvm = spark.sparkContext._jvm
-        for path in paths:
+        for value in own.values:
+            value.destroy()
+        for path in own.paths:
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
         jvm.System.gc()
 
 
+def fitted(sample: DataFrame, fit: Callable[[list[dict]], object], max_bytes: int) -> object:
+    """What fit makes of the rows of a sample of a bounded size, in one task; the driver gets the result alone.
+
+    The sample has a column `text` and comes in its order; a row with which the texts would have more than max_bytes bytes is left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for b in batches:
+            for row in b.to_pylist():
+                n = len((row["text"] or "").encode())
+                if size + n <= max_bytes:
+                    rows.append(row)
+                    size += n
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], names=["model"])
+
+    got = sample.coalesce(1).mapInArrow(run, "model binary").collect()
+    # of an empty table there may be no task at all
+    return pickle.loads(got[0][0]) if got else fit([])
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, changed where a table's columns are called so."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def column(name: str) -> Column:
+    """A column by its whole name, whatever signs are in it."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 FILTER_BITS = 1 << 25
 
 
@@ -175,7 +249,7 @@ def bit_filter(df: DataFrame, key: str) -> np.ndarray:
 
     Rows that miss it can be left out of a join's shuffle; those that hit it by chance go there and find no partner.
     """
-    at = F.pmod(F.xxhash64(F.col(key)), F.lit(FILTER_BITS))
+    at = F.pmod(F.xxhash64(column(key)), F.lit(FILTER_BITS))
     rows = (
         df.select(at.alias("p"))
         .groupBy(F.shiftright("p", 6).alias("w"))
@@ -189,7 +263,7 @@ def bit_filter(df: DataFrame, key: str) -> np.ndarray:
 
 def marked(df: DataFrame, key: str) -> DataFrame:
     """df with the place of each row's key in the bitmap of bit_filter as a last column."""
-    return df.withColumn("__at", F.coalesce(F.pmod(F.xxhash64(F.col(key)), F.lit(FILTER_BITS)), F.lit(0)))
+    return df.withColumn(unused(df.columns, "at")[0], F.coalesce(F.pmod(F.xxhash64(column(key)), F.lit(FILTER_BITS)), F.lit(0)))
 
 
 def passing(batches: Iterator[pa.RecordBatch], bits: np.ndarray, hit: bool = True) -> Iterator[pa.RecordBatch]:
@@ -204,8 +278,15 @@ def passing(batches: Iterator[pa.RecordBatch], bits: np.ndarray, hit: bool = Tru
 
 def sieve(df: DataFrame, key: str, bits: np.ndarray, hit: bool = True) -> DataFrame:
     """Rows of df whose key may be in the bitmap (see bit_filter), or the others."""
-    shared = df.sparkSession.sparkContext.broadcast(bits)
-    return marked(df, key).mapInArrow(lambda batches: passing(batches, shared.value, hit), df.schema)
+    shared = sent(df.sparkSession, bits)
+    return in_arrow(marked(df, key), lambda batches: passing(batches, shared.value, hit), df.schema.fields)
+
+
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], fields: list[StructField]) -> DataFrame:
+    """mapInArrow for columns of any names: in run they are c0, c1 and so on, and so are those that it gives."""
+    plain = [StructField(f"c{k}", f.dataType) for k, f in enumerate(fields)]
+    out = df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(run, StructType(plain))
+    return out.toDF(*[f.name for f in fields])
 
 
 def places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
