@@ -27,8 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .boosting import Boosted, boost
+from .shared import sent
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_QUOTED = re.compile(r"""(?:[^>"']++|"[^"]*"|'[^']*')*+>""")
 _ATTR = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
@@ -42,6 +44,12 @@ ENDS = {"p": BLOCKS - {"html", "body"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd":
 #: Beyond these an implied end does not reach.
 WALLS = frozenset("ul ol dl table article section div main aside nav header footer form blockquote body html td th".split())
 
+#: Elements nested deeper are not nodes of their own, as in browsers; their text is their ancestor's.
+DEPTH = 512
+_SILENT_END = {name: re.compile(f"</{name}\\b[^>]*>?", re.I) for name in SILENT}
+#: The elements that the start of each ends.
+_ENDED = {name: [own for own, by in ENDS.items() if name in by] for name in BLOCKS | {"option"}}
+
 _GROUPS = (
     ("nav", "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toc tabs toolbar skip"),
     ("side", "sidebar aside widget rail related recommended trending popular tags tagcloud archive"),
@@ -80,8 +88,10 @@ class Page:
         return len(self.tag) - 1
 
     def _read(self, source: str) -> None:
+        """One pass. What has been sought in vain is not sought again, and the stack has DEPTH elements at most, so that no markup takes more than linear time."""
         stack, parts, linked, in_link, at = [0], [], 0, 0, 0
-        find, end_of = _TAG.search, len(source)
+        end_of, quoted, endless = len(source), True, set()
+        open_: dict[str, int] = {}
 
         def flush() -> None:
             nonlocal parts, linked
@@ -91,51 +101,80 @@ class Page:
                     self._add("#text", stack[-1], 0, text, min(linked, len(text)))
                 parts, linked = [], 0
 
-        while at < end_of:
-            m = find(source, at)
-            raw = source[at : m.start() if m else end_of]
+        def add(raw: str) -> None:
+            nonlocal linked
             if raw:
                 text = html.unescape(raw) if "&" in raw else raw
                 parts.append(text)
                 if in_link:
                     linked += len(text)
-            if not m:
+
+        def close(k: int) -> None:
+            for node in stack[k:]:
+                open_[self.tag[node]] -= 1
+            del stack[k:]
+
+        held = 0  # where the text that is not added yet begins
+        while at < end_of:
+            begin = source.find("<", at)
+            if begin < 0:
                 break
-            at = m.end()
-            name = (m[2] or m[5] or "").lower()
-            if not name:
+            mark = source[begin + 1 : begin + 2]
+            if mark in ("!", "?"):
+                add(source[held:begin])
+                end = source.find("-->", begin + 4) + 2 if source.startswith("<!--", begin) else source.find(">", begin + 2)
+                at = held = end + 1 if end > begin else end_of
+                continue
+            m = _NAME.match(source, begin)
+            if not m:
+                at = begin + 1
                 continue
-            closing = m[1] or m[4]
+            end = -1
+            if quoted:
+                q = _QUOTED.match(source, m.end())
+                # after a tag whose quotes don't end, quotes don't count
+                quoted, end = q is not None, q.end() - 1 if q else -1
+            if end < 0:
+                end = source.find(">", m.end())
+                if end < 0:
+                    break
+            add(source[held:begin])
+            at = held = end + 1
+            closing, name, attributes = m[1], m[2].lower(), source[m.end() : end]
             if name in SILENT:
-                if not closing and not (m[3] or m[6] or "").endswith("/"):
-                    end = re.compile(f"</{name}\\b[^>]*>?", re.I).search(source, at)
-                    if end:
-                        at = end.end()
+                if not closing and not attributes.endswith("/"):
+                    over = None if name in endless else _SILENT_END[name].search(source, at)
+                    if over:
+                        at = held = over.end()
                     elif name in ("script", "style"):
+                        held = end_of
                         break
+                    else:
+                        endless.add(name)
                 parts.append(" ")
             elif name in BLOCKS:
                 flush()
                 if name in ("html", "body"):
                     if not closing:
-                        self.tokens[0] |= _tokens(m[3] or m[6] or "")
+                        self.tokens[0] |= _tokens(attributes)
                 elif closing:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if self.tag[stack[k]] == name:
-                            del stack[k:]
-                            break
+                    if open_.get(name):
+                        close(next(k for k in range(len(stack) - 1, 0, -1) if self.tag[stack[k]] == name))
                 else:
-                    for k in range(len(stack) - 1, 0, -1):
-                        own = self.tag[stack[k]]
-                        if name in ENDS.get(own, ()):
-                            del stack[k:]
-                            if name not in ("tr", "tbody", "tfoot"):
+                    if any(open_.get(x) for x in _ENDED[name]):
+                        for k in range(len(stack) - 1, 0, -1):
+                            own = self.tag[stack[k]]
+                            if name in ENDS.get(own, ()):
+                                close(k)
+                                if name not in ("tr", "tbody", "tfoot"):
+                                    break
+                            elif own in WALLS and not (own in ("td", "th") and name in ENDS[own]):
                                 break
-                        elif own in WALLS and not (own in ("td", "th") and name in ENDS[own]):
-                            break
-                    node = self._add(name, stack[-1], _tokens(m[3] or m[6] or ""))
-                    if name != "hr":
-                        stack.append(node)
+                    if len(stack) < DEPTH:
+                        node = self._add(name, stack[-1], _tokens(attributes))
+                        if name != "hr":
+                            stack.append(node)
+                            open_[name] = open_.get(name, 0) + 1
                 in_link = 0
             elif name == "a":
                 in_link = 0 if closing else 1
@@ -144,6 +183,7 @@ class Page:
                 parts.append(" ")
             else:
                 self.inner[stack[-1]] += 1
+        add(source[held:end_of])
         flush()
 
 
@@ -282,7 +322,7 @@ def trained(pages: int = 500, seed: int = 11) -> Boosted:
 
 def extract(pages: DataFrame, model: Boosted | None = None, id_col: str = "page_id", html_col: str = "html", carry: tuple[str, ...] = ("url",)) -> DataFrame:
     """Per page: its id, the columns of `carry`, `text` and `n_chars`."""
-    shared = pages.sparkSession.sparkContext.broadcast(model or trained())
+    shared = sent(pages.sparkSession, model or trained())
     fields = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

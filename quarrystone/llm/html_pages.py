@@ -99,7 +99,7 @@ class _Writer:
         if r.random() < 0.15:
             text = self.words(1, 3)
         text = f"{MARKER}{text}"
-        return r.choice([f"<p>{text}</p>", f"<p>{text}</p>", f"<p>{text}</p>", f"<p>{text}", f"<p><b>{text}<br>", f"<p><b>{text}</b></p>", f"<p>{text}<br>{self.sentence()}</p>", f"<div>{text}</div>"])
+        return r.choice([f"<p>{text}</p>", f"<p>{text}</p>", f"<p>{text}</p>", f"<p>{text}", f"<p><{r.choice(['em', 'strong', 'span', 'i'])}>{text}", f"<p><em>{text}</em></p>", f"<p>{text}<br>{self.sentence()}</p>", f"<div>{text}</div>"])
 
     def piece(self) -> str:
         r = self.r
@@ -142,8 +142,21 @@ class _Writer:
             return f"<table><tr>{out}</tr></table>" if tag == "td" else out
         return inside
 
+    def in_table(self) -> str:
+        """A page laid out by one table."""
+        r = self.r
+        cell = lambda names, inside, share=0.75: f"<td{self.named(names, share)}>{inside}</td>" if r.random() < 0.7 else f"<td{self.named(names, share)}>{inside}"
+        top = cell("header masthead top branding logo", r.choice([self.link(), self.words(1, 5), f"<h1>{self.words(1, 4)}</h1>", self.links()]))
+        menu = cell("menu nav navigation sidebar", r.choice([self.links(), "<br>".join(self.link() for _ in range(r.randint(2, 8)))]))
+        foot = cell("footer bottom copyright", r.choice([self.prose(1, 3), f"{self.sentence()} {self.link()}", f"&copy; {self.sentence()} {self.links()}"]))
+        side = [cell("sidebar widget ads related", r.choice([self.links(), f"<p>{self.sentence()}</p>", self.advert()]))] * (r.random() < 0.3)
+        middle = [menu, cell("content main article story text", self.article(), 0.6), *side]
+        return f"<table width=100%>{''.join(f'<tr>{row}</tr>' for row in (top, ''.join(middle), foot) if r.random() < 0.95 or row not in (top, foot))}</table>"
+
     def page(self) -> str:
         r = self.r
+        if r.random() < 0.1:
+            return f"<html><body>{self.in_table()}</body></html>"
         chance = lambda make, share: make() if r.random() < share else ""
         before = [chance(self.header, 0.5), chance(self.menu, 0.6), chance(self.notice, 0.25), chance(self.advert, 0.4), chance(self.form, 0.12), chance(self.side, 0.15)]
         after = [chance(self.side, 0.35), chance(self.comments, 0.3), chance(self.advert, 0.25), chance(self.share, 0.15), chance(self.form, 0.15), chance(self.notice, 0.15), chance(self.footer, 0.7)]
@@ -159,8 +172,8 @@ class _Writer:
             body = f"<form id=page>{body}</form>"
         if r.random() < 0.25:
             body = f"<div{self.named('wrapper container page layout', 0.7)}>{body}</div>"
-        head = f"<head><title>{self.words(2, 8)}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head>"
-        return f"<!DOCTYPE html><html>{head if r.random() < 0.9 else ''}<body>{'<!-- ad -->' * r.randint(0, 1)}{body}</body></html>" if r.random() < 0.95 else body
+        head = f"<head><title>{self.words(2, 8)}</title><style>.{self.words(1, 1)}{{width:{r.randint(1, 99)}px}}</style><script>{self.words(1, 9)}</script></head>"
+        return f"<!DOCTYPE html><html>{head if r.random() < 0.9 else ''}<body>{f'<!-- {self.words(1, 4)} -->' * r.randint(0, 1)}{body}</body></html>" if r.random() < 0.95 else body
 
 
 def generate(n: int, seed: int) -> Iterator[tuple[str, str]]:
