@@ -1,8 +1,7 @@
 """Benchmark decontamination with an FM-index per training shard.
 
-A shard is a run of documents of at most shared.CHUNK bytes, or one longer document. Its words become
-symbols; words that no test phrase has become breaks, and stretches between breaks that are shorter
-than every phrase made of their words are left out of the index, as no phrase can occur there. All
+A shard is a run of documents of at most shared.CHUNK bytes, or one longer document. All its words go into
+the index: each is a symbol, and a run of words that no test phrase has is one break, as is the end of a document. All
 phrases are searched backward together through wavelet-tree ranks; occurrences are located by sampled
 suffix positions, checked letter by letter, and merged to removal spans.
 
@@ -11,8 +10,9 @@ consecutive words of an item; an item of fewer words, but not none, is one phras
 
 Defined results: null text has no words, as document and as item; an item without an id hits words but
 is not listed; items that share an id are one; repeated rows are judged each; an empty benchmark hits
-nothing; other columns are left out. Test items are taken in blocks of at most BLOCK_WORDS words, and
-each block is a pass over the documents, so that what is broadcast is bounded at any benchmark size.
+nothing; other columns are left out but for those to carry, which may not be called like the result's. Test items
+are taken in blocks of at most BLOCK_WORDS words (an item is not divided), and each block is a pass over the documents; its
+result is written before the next block is built, so that one block is broadcast at a time at any benchmark size.
 """
 
 from __future__ import annotations
@@ -23,11 +23,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from .fmindex import FMIndex
-from .shared import ALNUM, Words, buffers, chunks
+from .shared import ALNUM, Words, buffers, chunks, column, sent, unused, written
 
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 18
 
 
 class Phrases:
@@ -55,11 +56,6 @@ class Phrases:
         self.rows = np.zeros((len(found), max(self.lengths, default=0)), np.int64)
         for k, p in enumerate(found):
             self.rows[k, self.rows.shape[1] - len(p) :] = [symbol[x] for x in p]
-        #: For each length of phrases, the symbols that phrases of this length have.
-        self.uses = {}
-        for n in sorted(set(self.lengths.tolist())):
-            self.uses[n] = used = np.zeros(self.n_symbols, bool)
-            used[self.rows[self.lengths == n][:, -n:]] = True
 
     def symbols(self, w: Words) -> np.ndarray:
         """The symbol of each word, 1 for words that no phrase has."""
@@ -75,15 +71,7 @@ class Phrases:
         n = len(symbols)
         opens = np.zeros(n + 1, bool)
         opens[w.first] = True
-        keep = np.zeros(n + 1, np.int32)
-        for size, used in self.uses.items():
-            fit = used[symbols]
-            starts = np.flatnonzero(fit & (opens[:n] | ~np.concatenate(([False], fit[:-1]))))
-            ends = np.flatnonzero(fit & (opens[1:] | ~np.concatenate((fit[1:], [False])))) + 1
-            long = ends - starts >= size
-            keep[starts[long]] += 1
-            keep[ends[long]] -= 1
-        kept = np.flatnonzero(np.cumsum(keep[:n]) > 0)
+        kept = np.flatnonzero(symbols > 1)
         if not len(kept):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         # a break wherever kept words don't follow each other, or a document begins
@@ -91,7 +79,7 @@ class Phrases:
         place = np.arange(len(kept)) + np.cumsum(gap)
         text, word = np.ones(place[-1] + 1, np.int64), np.zeros(place[-1] + 1, np.int64)
         text[place], word[place] = symbols[kept], kept
-        index = FMIndex(text, self.n_symbols)
+        index = FMIndex(text, self.n_symbols, breaks=True)
         lo, hi = index.search(self.rows, self.lengths)
         count = np.maximum(hi - lo, 0)
         phrase = np.repeat(np.arange(len(count)), count)
@@ -132,17 +120,22 @@ def blocks(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> I
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", clean: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per document: its id, `n_words`, `n_hit`, `items` (ids of the items with occurring phrases, as sorted strings), `spans` (byte ranges of the text to remove, merged) and, if asked for, `clean`, the text without them; then the columns of `carry`."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    spark = docs.sparkSession
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.expr("cast(array() as array<int>)").alias("hits"), F.expr("cast(array() as array<string>)").alias("items"), *[F.col(c).alias(f"__{k}") for k, c in enumerate(carry)])
-    carried = "".join(f", __{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(carry))
-    found = list(blocks(benchmark, window, item_col, item_text_col))
-    for k, block in enumerate(found):
-        last = k == len(found) - 1
-        schema = f"id {kind}, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start: bigint, end: bigint>>" + ", clean string" * clean + carried
-        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(block), last, clean), schema if last else f"id {kind}, text string, hits array<int>, items array<string>" + carried)
-    names = [id_col, "n_words", "n_hit", "items", "spans"] + ["clean"] * clean
-    return out.toDF(*names, *carry)
+    spark, kind = docs.sparkSession, docs.schema[id_col].dataType
+    names = unused(list(carry), *[f"carried{k}" for k in range(len(carry))])
+    out = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"), F.expr("cast(array() as array<int>)").alias("hits"), F.expr("cast(array() as array<string>)").alias("items"), *[column(c).alias(n) for c, n in zip(carry, names, strict=True)])
+    more = [StructField(n, docs.schema[c].dataType) for c, n in zip(carry, names, strict=True)]
+    between = StructType([StructField("id", kind), *out.schema.fields[1:4], *more])
+    spans = ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))
+    result = StructType([StructField("id", kind), StructField("n_words", LongType()), StructField("n_hit", LongType()), StructField("items", ArrayType(StringType())), StructField("spans", spans), *[StructField("clean", StringType())] * clean, *more])
+    found = blocks(benchmark, window, item_col, item_text_col)
+    block = next(found)
+    while (following := next(found, None)) is not None:
+        shared = sent(spark, block)
+        out = written(out.mapInArrow(_pass(shared, False, clean), between))
+        shared.unpersist()
+        block = following
+    out = out.mapInArrow(_pass(sent(spark, block), True, clean), result)
+    return out.toDF(id_col, "n_words", "n_hit", "items", "spans", *["clean"] * clean, *carry)
 
 
 def _pass(shared, last: bool, clean: bool):

@@ -57,16 +57,23 @@ class WaveletTree:
 
 
 class FMIndex:
-    """Index of `text` (symbols of 1 and more; 0 ends it)."""
+    """Index of `text` (symbols of 1 and more; 0 ends it). With `breaks`, 1 is a break, which no phrase may have.
 
-    def __init__(self, text: np.ndarray, n_symbols: int, sample: int = 8):
+    Breaks are sorted as different symbols, so that suffixes are compared up to the next break only and long repeats cost nothing;
+    what follows a break is sampled, so that no step to the left goes over one.
+    """
+
+    def __init__(self, text: np.ndarray, n_symbols: int, sample: int = 8, breaks: bool = False):
         text = np.append(text, 0).astype(np.int64)
-        sa = suffix_array(text)
+        at = np.flatnonzero(text == 1) if breaks else np.zeros(0, np.int64)
+        ranks = text + len(at)
+        ranks[at], ranks[-1] = np.arange(1, len(at) + 1), 0
+        sa = suffix_array(ranks)
         bwt = text[sa - 1]
         self.n = len(text)
         self.less = np.concatenate(([0], np.cumsum(np.bincount(bwt, minlength=n_symbols))))
         self.tree = WaveletTree(bwt, n_symbols)
-        self.sampled = sa % sample == 0
+        self.sampled = (sa % sample == 0) | ((bwt == 1) & breaks)
         self.sample_at = np.cumsum(self.sampled) - 1
         self.samples = sa[self.sampled]
 

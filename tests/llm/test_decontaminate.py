@@ -46,6 +46,18 @@ def test_index_finds_every_occurrence():
                 assert sorted(index.locate(np.arange(a, max(a, b)))) == [k for k in range(size - n + 1) if (text[k : k + n] == p).all()]
 
 
+def test_index_with_breaks():
+    rng = np.random.default_rng(6)
+    for size in (1, 3, 60, 500):
+        text = rng.integers(1, 5, size)
+        index = FMIndex(text, 6, breaks=True)
+        for n in (1, 2, 4):
+            phrases = rng.integers(2, 6, (20, n))
+            lo, hi = index.search(phrases, np.full(20, n))
+            for p, a, b in zip(phrases, lo, hi):
+                assert sorted(index.locate(np.arange(a, max(a, b)))) == [k for k in range(size - n + 1) if (text[k : k + n] == p).all()]
+
+
 def test_as_brute_force(spark, monkeypatch):
     rng = random.Random(3)
     vocabulary = ["a", "The", "Été", "x9", "été", "日本", "zz", "b"]
