@@ -1,8 +1,8 @@
 """URL filters: stated host and path rules, and association rules mined from labelled URLs.
 
-FP-growth finds token combinations that go with the label; rules whose antecedent is frequent
-(min_support) and that are right often enough (min_confidence) are kept, but for those that a rule
-with fewer of the same tokens makes needless. An inverted index posts each rule under its rarest
+FP-growth finds token combinations that go with the label; rules of at most LONGEST tokens that are right for a share
+min_support of the labelled rows and for MIN_ROWS rows at least, and often enough (min_confidence), are kept, but for those
+that a rule with fewer of the same tokens makes needless. An inverted index posts each rule under its rarest
 token; a URL meets only the rules posted under its own tokens, and a rule fits if the URL has all of
 its tokens. A URL that a mined rule fits is blocked, unless a stated rule says otherwise.
 
@@ -22,9 +22,11 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import sent, written
 
 RULES_AT_ONCE = 100_000
+#: Rows that a mined rule must be right for, so that none rests on single pages, and tokens that it may have.
+MIN_ROWS, LONGEST = 20, 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BAD = "label=bad"
 
@@ -78,17 +80,17 @@ def tokens(url: Column) -> Column:
     return F.when(F.locate("://", url) > 0, F.array_distinct(found)).otherwise(F.expr("cast(array() as array<string>)"))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.003, min_confidence: float = 0.6, too_common: float = 0.5) -> list[Mined]:
+def mine(labelled: DataFrame, min_support: float = 0.003, min_confidence: float = 0.6, too_common: float = 0.5, min_rows: int = MIN_ROWS, longest: int = LONGEST) -> list[Mined]:
     """Rules from rows of `tokens` and `bad`. Tokens that more than `too_common` of the rows have tell nothing and are left out."""
     rows = written(labelled)
     n = rows.count()
     common = [r[0] for r in rows.select(F.explode("tokens").alias("t")).groupBy("t").count().where(F.col("count") > too_common * n).select("t").collect()]
     items = F.array_except("tokens", F.array(*[F.lit(x) for x in common]).cast("array<string>"))
     baskets = rows.select(F.when(F.col("bad"), F.array_append(items, F.lit(BAD))).otherwise(items).alias("items")).where(F.size("items") > 0)
-    if not n or baskets.isEmpty():
+    if n < min_rows or baskets.isEmpty():
         return []
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select(F.array_sort("antecedent"), "confidence", "support").collect()
+    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_rows / baskets.count()), minConfidence=min_confidence).fit(baskets)
+    rules = model.associationRules.where((F.col("consequent") == F.array(F.lit(BAD))) & (F.size("antecedent") <= longest)).select(F.array_sort("antecedent"), "confidence", "support").collect()
     return prune([Mined(tuple(a), c, s) for a, c, s in rules])
 
 
@@ -163,7 +165,7 @@ def judge(pages: DataFrame, stated: list[Stated], mined: list[Mined], id_col: st
     for k, block in enumerate(blocks):
         final = k == len(blocks) - 1
         schema = f"id {kind}, host string, path string, " + ("rule string, verdict string" if final else "tokens array<string>") + ", mined string, confidence double"
-        out = out.mapInArrow(fit(spark.sparkContext.broadcast(Index(block)), final), schema)
+        out = out.mapInArrow(fit(sent(spark, Index(block)), final), schema)
     return out.withColumnRenamed("id", id_col)
 
 
