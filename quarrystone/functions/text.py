@@ -120,6 +120,10 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.nullif(F.coalesce(F.nullif(F.regexp_extract(tag, pattern, 1), F.lit("")), F.regexp_extract(tag, pattern, 2)), F.lit(""))
 
 
+#: No scan has a leaf of a higher number; a range that goes on ends there, so that a mistyped one makes no endless list.
+LARGEST_LEAF = 100_000
+
+
 def include_numbers(x: Column) -> Column:
     """1,3,5-8 to the distinct numbers; fragments that are no number or range are skipped; null stays null."""
 
@@ -128,7 +132,7 @@ def include_numbers(x: Column) -> Column:
         single = parse_int(p)
         none = F.expr("cast(array() as array<int>)")
         # a range that runs backward is empty
-        ranged = F.when(lo.isNotNull() & hi.isNotNull() & (lo <= hi), F.sequence(lo, hi)).otherwise(none)
+        ranged = F.when(lo.isNotNull() & hi.isNotNull() & (lo <= hi), F.sequence(lo, F.greatest(lo, F.least(hi, F.lit(LARGEST_LEAF))))).otherwise(none)
         return F.when(p.contains("-"), ranged).otherwise(F.when(single.isNotNull(), F.array(single)).otherwise(none))
 
     return F.array_distinct(F.flatten(F.transform(F.split(x, ","), part)))

@@ -90,3 +90,20 @@ def test_streams(spark, tmp_path):
     counts = events.monthly_counts(events.read_stream(spark, str(tmp_path / "in"), schema), late="1 day")
     events.run_once(counts, "counts", str(tmp_path / "c2"))
     assert {(r.month, r.n) for r in spark.table("counts").collect()} == {("2020-01", 1)}
+
+
+def test_first_available_and_a_missing_index(spark, tmp_path):
+    asked = []
+
+    def make(name, has):
+        def run(month):
+            asked.append(name)
+            return f"{name} of {month}" if has else None
+
+        return run
+
+    makers = [make("snapshot", False), make("cache", True), make("everything", True)]
+    assert tables.first_available(makers, "2024-01") == "cache of 2024-01" and asked == ["snapshot", "cache"]
+    with pytest.raises(LookupError):
+        tables.first_available(makers[:1], "2024-01")
+    assert tables.read_text_index(spark, str(tmp_path / "none.jsonl")) is None

@@ -109,3 +109,21 @@ def test_sizes_of_pages(spark):
     got = {r.title: (r.stripped, r.content_bytes, r.transliterated_bytes) for r in wikitext.with_text(pages, {"T": "<{{{1}}}>"}, transliterated=True).collect()}
     assert got["A"] == (" अ ", 5, 3) or got["A"][0].strip().endswith("अ")
     assert got["B"][0] == "" and got["C"] == ("", 0, 0)
+
+
+def test_include_ranges_end_somewhere(spark):
+    got = spark.range(1).select(F.size(X.include_numbers(F.lit("1-2000000000"))).alias("n"), X.include_numbers(F.lit("7,2000000-3000000,9-8,x")).alias("few")).first()
+    assert got.n == X.LARGEST_LEAF and got.few == [7, 2000000]
+
+
+def test_sizes_are_rounded_by_their_exact_value(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    numbers = [0, 1, 49, 50, 51, 150, 250, 350, 949, 950, 951, 1050, 1250, 999_949, 999_950, 999_951, 1_000_000, 1_050_000, 1_250_000, 123_456_789, 999_999_999_999]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n bigint").select("n", X.format_bytes(F.col("n")).alias("size"), X.format_megabytes(F.col("n")).alias("mb"), X.axis_bytes(F.col("n")).alias("axis")).collect()
+    fixed = lambda x, d: str(Decimal(x).quantize(Decimal(1).scaleb(-d), ROUND_HALF_UP))
+    for r in rows:
+        kb = r.n / 1000
+        assert r.size == (fixed(kb, 1) + " KB" if kb < 1000 else fixed(kb / 1000, 1) + " MB")
+        mb = r.n / 1e6
+        assert r.mb == fixed(mb, 1) + " MB" and r.axis == (fixed(mb / 1000, 1) + " GB" if mb >= 1000 else fixed(mb, 0) + " MB")
