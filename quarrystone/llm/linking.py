@@ -1,15 +1,15 @@
 """Connected groups from shared buckets, without pairs of whole buckets.
 
-`grouped` gets nodes (id, a sketch to compare, and the keys of their buckets); those that share a bucket may be alike. It finds the
+`grouped` gets the keys of nodes' buckets and a sketch of each node to compare; those that share a bucket may be alike. It finds the
 same groups as if all pairs within every bucket were compared and checked:
 
-1. Each member is compared with its buckets' first members (pivots); of those that its sketch does
-   not rule out, the likeliest is checked, and the links found are closed to groups.
-2. Its other pivots are checked where they are in another group.
-3. Buckets of three and more that still hold several groups are finished: members outside of a bucket's
-   largest group are compared with all its members. Where these are many, both are cut into chunks
-   of bounded size, a row is a pair of chunks, and what it gives is links that join groups, not pairs.
-   Nearly all buckets have one group by then, so that this meets few rows; it has no cap.
+1. In a bucket of up to FEW rows the sketches of all pairs are compared; in a larger one each member's with that of the first
+   member (the pivot). Of the pairs that the sketches leave, each member's likeliest is checked, and the links found are closed to groups.
+2. The other pairs are checked where they are between groups.
+3. Larger buckets that still hold several groups are finished: members outside of a bucket's largest group are compared with all
+   its members. Where these are many, both are cut into chunks of bounded size, a row is a pair of chunks, and what it gives is
+   links that join groups, not pairs. There is no cap. Chunks are joined by their number too, so that a large bucket's pairs
+   of chunks are dealt over as many tasks as it has chunks.
 
 Texts are fetched only for members that the sketches leave a partner.
 
@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import key_filter, places, scope, written
+from .shared import key_filter, places, scope, sent, written
 
 #: Members and bytes of text in a chunk, on average, and bytes of texts kept in their compared form by a worker.
 CHUNK_ROWS, CHUNK_BYTES, KEEP_BYTES = 128, 1 << 19, 4 << 20
@@ -61,6 +61,10 @@ class Likeness(ABC):
     @abstractmethod
     def alike(self, x, y) -> bool: ...
 
+    def may_be_alike(self, x: list, y: list, near: np.ndarray) -> np.ndarray:
+        """`near` without pairs of the forms x and y that something cheaper than `alike` rules out."""
+        return near
+
 
 class _Forms:
     """Forms of the texts met last."""
@@ -131,8 +135,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFra
 
 
 def _in_buckets(nodes: DataFrame, bits: np.ndarray, sketch: tuple[str, ...]) -> DataFrame:
-    """(key, id, sketch) for every key of a node that the bitmap may hold."""
-    shared = nodes.sparkSession.sparkContext.broadcast(bits)
+    """(key, id, sketch) for every key of a node that the bitmap may hold, once in a batch."""
+    shared = sent(nodes.sparkSession, bits)
     kinds = {f.name: f.dataType.simpleString() for f in nodes.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +146,14 @@ def _in_buckets(nodes: DataFrame, bits: np.ndarray, sketch: tuple[str, ...]) ->
             word, bit = places(flat)
             hit = np.flatnonzero((shared.value[word] >> bit) & 1)
             if len(hit):
-                rows = pa.array(np.repeat(np.arange(b.num_rows), pc.list_value_length(keys).to_numpy(zero_copy_only=False))[hit])
-                yield pa.RecordBatch.from_arrays([pa.array(flat[hit]), *[pc.take(c, rows) for c in b.columns[1:]]], names=["key", *b.schema.names[1:]])
+                rows = np.repeat(np.arange(b.num_rows), pc.list_value_length(keys).to_numpy(zero_copy_only=False))[hit]
+                # copies of a node, of which a batch may be full, have the same keys
+                number = pc.dictionary_encode(b.column(1)).indices.to_numpy(zero_copy_only=False)[rows]
+                order = np.lexsort((number, flat[hit]))
+                once = np.ones(len(order), bool)
+                once[1:] = (flat[hit][order][1:] != flat[hit][order][:-1]) | (number[order][1:] != number[order][:-1])
+                take = order[once]
+                yield pa.RecordBatch.from_arrays([pa.array(flat[hit][take]), *[pc.take(c, pa.array(rows[take])) for c in b.columns[1:]]], names=["key", *b.schema.names[1:]])
 
     return nodes.select("keys", "id", *sketch).mapInArrow(run, "key bigint, " + ", ".join(f"{c} {kinds[c]}" for c in ("id", *sketch)))
 
@@ -151,15 +161,19 @@ def _in_buckets(nodes: DataFrame, bits: np.ndarray, sketch: tuple[str, ...]) ->
 def grouped(nodes: DataFrame, likeness: Likeness, texts_of) -> DataFrame:
     """(id, component) of the nodes linked with any other.
 
-    nodes: id, keys (longs), and the sketch's columns; an id is once at most in a bucket. texts_of gives the
-    texts (id, text) of a table of ids.
+    nodes: id, keys (longs), and the sketch's columns; an id may come several times, with the same keys and sketch. texts_of gives
+    the texts (id, text) of a table of ids.
     """
     with scope(nodes.sparkSession) as keep:
-        own = F.struct("id", *likeness.sketch)
-        multi = written(nodes.select(F.explode("keys").alias("key"), "id").groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("__size")).where("__size > 1"))
+        multi = nodes.select(F.explode("keys").alias("key"), "id").groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("__last"), F.count(F.lit(1)).alias("__size"))
+        multi = written(multi.where("first < __last").select("key", "first", "__size"))
         met = written(_in_buckets(nodes, key_filter(multi, "key"), likeness.sketch).join(multi, "key"))
-        pairs = met.join(met.where("id = first").select("key", own.alias("pivot")), "key").where((F.col("id") != F.col("pivot.id")) & likeness.near(own, F.col("pivot")))
-        pairs = written(pairs.groupBy(F.col("id").alias("a"), F.col("pivot.id").alias("b")).agg(F.max(likeness.likely(own, F.col("pivot"))).alias("likely")))
+        own = F.struct("id", *likeness.sketch)
+        side = lambda rows, name: rows.select("key", own.alias(name))
+        few, many = met.where(F.col("__size") <= FEW), met.where(F.col("__size") > FEW)
+        pairs = side(few, "x").join(side(few, "y"), "key").where(F.col("x.id") > F.col("y.id"))
+        pairs = pairs.unionByName(side(many.where("id <> first"), "x").join(side(many.where("id = first"), "y"), "key")).where(likeness.near(F.col("x"), F.col("y")))
+        pairs = written(pairs.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.max(likeness.likely(F.col("x"), F.col("y"))).alias("likely")))
         texts = written(texts_of(_ends(pairs)))
         links = written(_verified(pairs.groupBy("a").agg(F.max_by("b", F.struct("likely", "b")).alias("b")), texts, likeness))
         groups = components(links)
@@ -167,7 +181,7 @@ def grouped(nodes: DataFrame, likeness: Likeness, texts_of) -> DataFrame:
         if not more.isEmpty():
             links = links.union(more)
             groups = components(links)
-        last = _finished(met.where("__size > 2"), groups, texts_of, likeness)
+        last = _finished(many, groups, texts_of, likeness)
         if last is not None and not last.isEmpty():
             groups = components(links.union(last))
         return keep(groups)
@@ -179,19 +193,22 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 def _finished(met: DataFrame, groups: DataFrame, texts_of, likeness: Likeness) -> DataFrame | None:
     """Links between groups that share a bucket."""
-    own = F.struct("id", *likeness.sketch)
-    rows = met.select("key", "id", *likeness.sketch).join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    if met.isEmpty():
+        return None
+    own = F.struct("id", *likeness.sketch).alias("own")
+    rows = met.select("key", "id", own).join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     by = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = written(by.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("groups")).where("groups > 1").select("key", "main"))
+    main = by.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("groups"))
+    main = written(main.where("groups > 1").select("key", "main"))
     if main.isEmpty():
         return None
     # what has a bucket in common with a group that is the largest of this bucket
-    shared = written(rows.join(main, "key").select("main", "id", "component", *likeness.sketch).distinct())
+    shared = written(rows.join(main, "key").select("main", "component", "own").distinct())
     sizes = written(shared.groupBy("main").agg(F.count(F.lit(1)).alias("__size")))
     few = shared.join(sizes.where(F.col("__size") <= FEW).select("main"), "main")
-    many = written(shared.join(sizes.where(F.col("__size") > FEW).select("main"), "main"))
-    x = few.where("component <> main").select("main", own.alias("x"), F.col("component").alias("cx"))
-    y = few.select("main", own.alias("y"), F.col("component").alias("cy"))
+    many = written(shared.join(sizes.where(F.col("__size") > FEW).select("main"), "main").select("main", "component", "own.*"))
+    x = few.where("component <> main").select("main", F.col("own").alias("x"), F.col("component").alias("cx"))
+    y = few.select("main", F.col("own").alias("y"), F.col("component").alias("cy"))
     pairs = x.join(y, "main").where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x.id") < F.col("y.id"))) & likeness.near(F.col("x"), F.col("y")))
     pairs = written(pairs.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct())
     partnered = None if many.isEmpty() else written(_chunked(many.withColumn("text", F.lit("")), likeness, links=False).distinct())
@@ -212,8 +229,10 @@ def _chunked(full: DataFrame, likeness: Likeness, links: bool) -> DataFrame:
     sizes = written(full.groupBy("main").agg((F.ceil(F.count(F.lit(1)) / CHUNK_ROWS) + F.floor(F.sum(F.length("text")) / CHUNK_BYTES)).alias("parts")))
     parted = full.join(sizes, "main").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
     chunk = F.collect_list(F.struct("id", "component", *likeness.sketch, "text"))
-    x = written(parted.where("component <> main").groupBy("main", "part").agg(chunk.alias("x")).select("main", "x"))
-    y = written(parted.groupBy("main", "part").agg(chunk.alias("y")).select("main", "y"))
+    x = written(parted.where("component <> main").groupBy("main", "part", "parts").agg(chunk.alias("x")))
+    y = written(parted.groupBy("main", F.col("part").alias("other")).agg(chunk.alias("y")))
+    # each left chunk is told its partners' numbers, and they meet by main and number
+    x = x.select("main", "x", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms = _Forms(likeness)
@@ -224,9 +243,9 @@ def _chunked(full: DataFrame, likeness: Likeness, links: bool) -> DataFrame:
                 sx, sy = (np.stack([s.to_numpy() for s in sketch], 1) for sketch in (xs, ys))
                 near = likeness.near_arrays(sx, sy)
                 xi, xc, yi, yc = (c.to_pylist() for c in (xi, xc, yi, yc))
+                number = {c: i for i, c in enumerate({*xc, *yc})}
+                near &= np.array([number[c] for c in xc])[:, None] != np.array([number[c] for c in yc])[None, :]
                 if not links:
-                    number = {c: i for i, c in enumerate({*xc, *yc})}
-                    near &= np.array([number[c] for c in xc])[:, None] != np.array([number[c] for c in yc])[None, :]
                     ids = {xi[i] for i in np.flatnonzero(near.any(1))} | {yi[j] for j in np.flatnonzero(near.any(0))}
                     if ids:
                         yield pa.RecordBatch.from_arrays([pa.array(list(ids), of)], names=["id"])
@@ -240,13 +259,17 @@ def _chunked(full: DataFrame, likeness: Likeness, links: bool) -> DataFrame:
                     return c
 
                 found = []
+                rows, cols = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+                fx, fy = {int(i): forms(xt[i]) for i in rows}, {int(j): forms(yt[j]) for j in cols}
+                if len(rows):
+                    near[np.ix_(rows, cols)] = likeness.may_be_alike(list(fx.values()), list(fy.values()), near[np.ix_(rows, cols)])
                 for i, j in np.argwhere(near).tolist():
                     a, c = root(xc[i]), root(yc[j])
                     # one link between two groups is enough
-                    if a != c and likeness.alike(forms(xt[i]), forms(yt[j])):
+                    if a != c and likeness.alike(fx[i], fy[j]):
                         joined[a] = c
                         found.append((xi[i], yi[j]))
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], of) for c in (0, 1)], names=["a", "b"])
 
-    return x.join(y, "main").select("x", "y").mapInArrow(run, f"a {kind}, b {kind}" if links else f"id {kind}")
+    return x.join(y, ["main", "other"]).select("x", "y").mapInArrow(run, f"a {kind}, b {kind}" if links else f"id {kind}")

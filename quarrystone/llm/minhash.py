@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .linking import Likeness, grouped
-from .shared import SOLID, Words, bit_filter, buffers, chunks, mix, scope, sieve, written
+from .shared import SOLID, Words, bit_filter, buffers, chunks, column, mix, scope, sieve, unused, written
 
 ROWS, BANDS, MARGIN = 6, 36, 5.0
 _rng = np.random.default_rng(20)
@@ -143,16 +143,17 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: its id, `n_shingles`, `component_id` (the least id that it is connected with) and `kept` (whether that is its own)."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(column(id_col).alias("id"), column(text_col).cast("string").alias("text"))
     all_rows = written(sketches(rows, size))
     full = all_rows.where("n > 0 and id is not null")
     sets = written(full.groupBy("h1", "h2").agg(F.min("id").alias("rep")))
-    nodes = full.join(sets.select(F.col("rep").alias("id"), "h1", "h2"), ["id", "h1", "h2"], "left_semi").dropDuplicates(["id", "h1", "h2"])
+    nodes = written(full.join(sets.select(F.col("rep").alias("id"), "h1", "h2"), ["id", "h1", "h2"], "left_semi"))
+    likeness = SetLikeness(size, percent)
 
     def texts_of(ids: DataFrame) -> DataFrame:
         return sieve(rows, "id", bit_filter(ids, "id")).join(ids, "id", "left_semi")
 
-    groups = grouped(nodes, SetLikeness(size, percent), texts_of)
+    groups = grouped(nodes, likeness, texts_of)
     known = written(sets.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component")))
     out = full.select("id", "n", "h1", "h2").join(known, ["h1", "h2"]).select("id", "n", "component")
     out = out.unionByName(all_rows.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component")))
@@ -161,8 +162,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 
 def without_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows with all their columns, of every group those of its least id. Only documents that may go pass through the join."""
+    (other,) = unused(docs.columns, "gone")
     with scope(docs.sparkSession) as keep:
-        gone = keep(near_duplicates(docs, size, percent, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct())
-    bits = bit_filter(gone, "__gone")
+        gone = keep(near_duplicates(docs, size, percent, id_col, text_col).where(~F.col("kept")).select(column(id_col).alias(other)).distinct())
+    bits = bit_filter(gone, other)
     maybe = sieve(docs, id_col, bits)
-    return maybe.join(gone, F.col(id_col) == F.col("__gone"), "left_anti").unionByName(sieve(docs, id_col, bits, hit=False))
+    return maybe.join(gone, column(id_col) == F.col(other), "left_anti").unionByName(sieve(docs, id_col, bits, hit=False))
