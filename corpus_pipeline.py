@@ -8,33 +8,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrystone.llm import bpe, decontaminate, lines, minhash, toxicity
-from quarrystone.llm.shared import small_batches, written
+from quarrystone.llm.shared import column, small_batches, unused, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _with_text(found: DataFrame, text: str, columns: list[str]) -> DataFrame:
-    """The columns of documents, with another text."""
-    new = found.withColumn("__text", F.col(text))
-    value = {"text": F.col("__text"), "n_chars": F.length("__text").cast("bigint")}
-    return new.select(*[value[c].alias(c) if c in value else F.col(c) for c in columns])
+def _with_text(found: DataFrame, text: Column, columns: list[str], of: str = "") -> DataFrame:
+    """The columns of documents, with another text; `of` leads to the other columns where they are in a struct."""
+    value = {"text": text, "n_chars": F.length(text).cast("bigint")}
+    return found.select(*[value[c].alias(c) if c in value else (F.col(of)[c] if of and c != "doc_id" else column(c)).alias(c) for c in columns])
 
 
 def toxic_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the threshold of toxicity."""
     small_batches(spark)
     net = toxicity.learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, net).where(F.col("__score") < toxicity.THRESHOLD).drop("__score")
+    (name,) = unused(docs.columns, "score")
+    return toxicity.score(docs, net, score_col=name).where(F.col(name) < toxicity.THRESHOLD).select(*map(column, docs.columns))
 
 
 def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that stand elsewhere. Documents go if they lost lines and no word is left."""
-    found = lines.dedup_lines(docs, exact=True, left_words=1, short=True).where(~((F.col("__dropped") > 0) & (F.col("__left") == 0)))
-    return _with_text(found, "text", docs.columns)
+    names = unused(docs.columns, "lines", "dropped", "left")
+    found = lines.dedup_lines(docs, exact=True, left_words=1, short=True, paired_to=lines.PAIRED_TO, counts=tuple(names))
+    return _with_text(found.where(~((F.col(names[1]) > 0) & (F.col(names[2]) == 0))), F.col("text"), docs.columns)
 
 
 def copies_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +47,10 @@ def copies_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def benchmark_goes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of the benchmark; documents go if no word is left."""
     small_batches(spark)
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), clean=True, carry=rest)
-    return _with_text(found.where((F.col("n_hit") == 0) | (F.col("n_hit") < F.col("n_words"))), "clean", docs.columns)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    packed = docs.select("doc_id", "text", F.struct(*map(column, rest)).alias("rest")) if rest else docs
+    found = decontaminate.decontaminate(packed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), clean=True, carry=("rest",) if rest else ())
+    return _with_text(found.where((F.col("n_hit") == 0) | (F.col("n_hit") < F.col("n_words"))), F.col("clean"), docs.columns, "rest" if rest else "")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
