@@ -84,7 +84,7 @@ class _Forms:
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """One step on edges (u, v), u > v: every node's larger (large) or smaller neighbours move to its least neighbour."""
     sym = edges.union(edges.select("v", "u")).toDF("u", "v") if large else edges
-    least = written(sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+    least = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     met = sym.join(least, "u")
     if large:
         out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
