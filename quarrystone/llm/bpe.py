@@ -3,7 +3,8 @@
 Each match of the split pattern is encoded alone. A segment tree over its byte positions stores, in
 every node, the least (rank, position) of the pairs that begin there: the root is the leftmost pair
 of the least rank. A merge joins the pair's right part into its left one and updates the tree at the
-two pairs that changed, each in logarithmic time.
+two pairs that changed, each in logarithmic time. Matches of up to WIDEST bytes are merged many at a time: their trees
+are the columns of one array, and each step merges one pair of every match.
 
 Defined results: null text counts as empty, and gives no tokens and no bytes; repeated rows are
 encoded each; other columns of the input are left out. Results of matches are kept in a table of
@@ -15,6 +16,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +25,9 @@ from .shared import sent
 
 NONE = 1 << 62
 #: Matches kept by a worker in each of two generations; longer ones than LONG characters are not kept.
-KEEP, LONG = 200_000, 64
+KEEP, LONG = 50_000, 64
+#: Bytes of a match whose tree is an array's column, such matches merged at once, and texts taken together.
+WIDEST, COLUMNS, TEXTS = 128, 1 << 14, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -87,14 +91,72 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Merger:
+    """`merge` of many pieces at once. The pairs of ids that give a token, in order of left << 32 | right, and their token's rank."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        got = [(ranks[t[:k]] << 32 | ranks[t[k:]], rank) for t, rank in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
+        pairs = np.array(sorted(got), np.int64).reshape(-1, 2)
+        # past the end stands a pair that no lookup asks for
+        self.pairs, self.rank = np.append(pairs[:, 0], NONE), np.append(pairs[:, 1], -1)
+        self.bytes = np.array([ranks.get(bytes([k]), -1) for k in range(256)], np.int64)
+
+    def keys(self, left: np.ndarray, right: np.ndarray, at: np.ndarray, bits: int) -> np.ndarray:
+        """rank << bits | at of the pairs of ids; NONE where they give no token."""
+        pair = left << 32 | right
+        k = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[k] == pair, self.rank[k] << bits | at, NONE)
+
+    def __call__(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of pieces of 2 to WIDEST bytes, all of whose bytes are tokens."""
+        bits = max(max(map(len, pieces)) - 1, 1).bit_length()
+        size, m = 1 << bits, len(pieces)
+        n = np.array([len(p) for p in pieces])
+        text = np.frombuffer(b"".join(p.ljust(size, b"\0") for p in pieces), np.uint8).reshape(m, size).T
+        ids = self.bytes[text]
+        place = np.arange(size)[:, None]
+        stands = place < n
+        tree = np.full((2 * size, m), NONE, np.int64)
+        tree[size : 2 * size - 1] = np.where(stands[1:], self.keys(ids[:-1], ids[1:], place[:-1], bits), NONE)
+        for k in range(size - 1, 0, -1):
+            np.minimum(tree[2 * k], tree[2 * k + 1], out=tree[k])
+        after = np.repeat(place + 1, m, 1)
+        # what stands before the end of a piece is written there, and nobody reads it
+        before = np.repeat(np.arange(-1, size)[:, None], m, 1)
+        live = np.flatnonzero(tree[1] != NONE)
+        while len(live):
+            top = tree[1, live]
+            left = top & (size - 1)
+            right = after[left, live]
+            end = after[right, live]
+            ids[left, live] = new = top >> bits
+            stands[right, live] = False
+            after[left, live], before[end, live] = end, left
+            tree[size + right, live] = NONE
+            follows = end < n[live]
+            tree[size + left, live] = np.where(follows, self.keys(new, ids[np.minimum(end, size - 1), live], left, bits), NONE)
+            other = before[left, live]
+            some = np.flatnonzero(other >= 0)
+            tree[size + other[some], live[some]] = self.keys(ids[other[some], live[some]], new[some], other[some], bits)
+            # the three leaves' ways up, level by level
+            k, of = np.concatenate((size + left, size + right, size + other[some])), np.concatenate((live, live, live[some]))
+            for _ in range(bits):
+                k >>= 1
+                tree[k, of] = np.minimum(tree[2 * k, of], tree[2 * k + 1, of])
+            live = live[tree[1, live] != NONE]
+        flat, ends = ids.T[stands.T].tolist(), np.cumsum(stands.sum(0)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 class Codec:
     """Encoder and decoder over one rank table."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, merger: Merger | None = None):
         import regex
 
         self.ranks, self.tokens = ranks, {v: k for k, v in ranks.items()}
         self.find = regex.compile(pattern).findall
+        self.merger = merger or Merger(ranks)
         self._kept: dict[str, tuple[int, str, bytes]] = {}
         self._old: dict[str, tuple[int, str, bytes]] = {}
 
@@ -104,23 +166,51 @@ class Codec:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
-    def learn(self, match: str) -> tuple[int, str, bytes]:
-        """Number of ids, the ids as text, and the bytes decoded from them, of one match of the pattern."""
-        if (got := self._old.get(match)) is None:
-            ids = merge(match.encode(), self.ranks)
-            got = len(ids), ",".join(map(str, ids)), self.decode(ids)
-        if len(match) <= LONG:
-            self._kept[match] = got
+    def merged(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each piece."""
+        out: list[list[int]] = [[]] * len(pieces)
+        by: dict[int, list[int]] = {}
+        for k, p in enumerate(pieces):
+            if (whole := self.ranks.get(p)) is not None:
+                out[k] = [whole]
+            elif 1 < len(p) <= WIDEST:
+                by.setdefault((len(p) - 1).bit_length(), []).append(k)
+            else:
+                out[k] = merge(p, self.ranks)
+        for same in by.values():
+            for lo in range(0, len(same), COLUMNS):
+                part = same[lo : lo + COLUMNS]
+                for k, ids in zip(part, self.merger([pieces[k] for k in part]), strict=True):
+                    out[k] = ids
+        return out
+
+    def learn(self, matches: list[str]) -> dict[str, tuple[int, str, bytes]]:
+        """Number of ids, the ids as text, and the bytes decoded from them, of each match of the pattern."""
+        got = {m: old for m in matches if (old := self._old.get(m)) is not None}
+        new = [m for m in matches if m not in got]
+        for m, ids in zip(new, self.merged([m.encode() for m in new]), strict=True):
+            got[m] = len(ids), ",".join(map(str, ids)), self.decode(ids)
         return got
 
-    def both(self, text: str) -> tuple[int, str, bytes]:
-        """The same for a whole text."""
-        matches = self.find(text)
+    def all(self, texts: list[str]) -> list[tuple[int, str, bytes]]:
+        """The same for whole texts."""
+        found = [self.find(t) for t in texts]
         if len(self._kept) > KEEP:
             self._old, self._kept = self._kept, {}
-        kept, learn = self._kept, self.learn
-        got = [kept.get(m) or learn(m) for m in matches]
-        return sum([g[0] for g in got]), ",".join([g[1] for g in got]), b"".join([g[2] for g in got])
+        kept = self._kept
+        got = self.learn(list({m for matches in found for m in matches if m not in kept}))
+        long = {m: g for m, g in got.items() if len(m) > LONG}
+        kept.update(got)
+        out = []
+        for matches in found:
+            numbers, ids, parts = zip(*map(kept.__getitem__, matches), strict=True) if matches else ((), (), ())
+            out.append((sum(numbers), ",".join(ids), b"".join(parts)))
+        for m in long:
+            del kept[m]
+        return out
+
+    def both(self, text: str) -> tuple[int, str, bytes]:
+        return self.all([text])[0]
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,16 +218,18 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     The rank table (some 50,000 tokens, whatever the corpus) is broadcast.
     """
-    shared = sent(docs.sparkSession, read_ranks(path))
+    ranks = read_ranks(path)
+    shared = sent(docs.sparkSession, (ranks, Merger(ranks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value, pattern)
+        ranks, merger = shared.value
+        codec = Codec(ranks, pattern, merger)
         for b in batches:
             ids, texts = b.column(0), b.column(1)
-            for lo in range(0, b.num_rows, 256):
-                got = [codec.both(t or "") for t in texts[lo : lo + 256].to_pylist()]
+            for lo in range(0, b.num_rows, TEXTS):
+                got = codec.all([t or "" for t in texts[lo : lo + TEXTS].to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [ids[lo : lo + 256], pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.string()), pa.array([g[2] for g in got], pa.binary())],
+                    [ids[lo : lo + TEXTS], pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.string()), pa.array([g[2] for g in got], pa.binary())],
                     names=["id", "n_tokens", "ids", "decoded"],
                 )
 

@@ -61,3 +61,19 @@ def test_fingerprint_of_a_tone():
     tone = (128 + 90 * np.sin(2 * np.pi * 1000 / media.RATE * np.arange(media.BLOCK * 10))).astype(np.uint8).tobytes()
     frames, codes = media.fingerprint(tone)
     assert len(codes) and {c >> 12 for c in codes.tolist()} & {round(1000 * media.FRAME / media.RATE)}
+
+
+def test_many_pieces_are_merged_at_once(monkeypatch):
+    ranks = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    monkeypatch.setattr(bpe, "COLUMNS", 50)
+    codec = bpe.Codec(ranks, P.PATTERN)
+    text = "thé qu_iéck日本zx ÿabab"
+    pieces = [(text * 9)[a : a + n].encode() for a in range(20) for n in range(1, 70)] + [b"\xff\x00\xfe" * k for k in range(1, 60)]
+    calls, scalar = [], bpe.merge
+    monkeypatch.setattr(bpe, "merge", lambda piece, ranks: calls.append(len(piece)) or scalar(piece, ranks))
+    assert codec.merged(pieces) == [scalar(p, ranks) for p in pieces]
+    assert all(n > bpe.WIDEST for n in calls)
+    repeated = "w1 " + "x" * 70 + " w1\n" + "é" * 200
+    real = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert codec.all([repeated, "", repeated]) == [(len(i), ",".join(map(str, i)), t.encode()) for t in (repeated, "", repeated) for i in [real.encode_ordinary(t)]]
+    assert max(map(len, codec._kept)) <= bpe.LONG
