@@ -10,9 +10,9 @@ Defined results: null text and text without any letter give `und` with score 0;
 learn from every text gives `und`, and with one language only that one; repeated rows are judged each,
 ties go to the first language in order; other columns are left out.
 
-The model is fitted on a bounded sample of the labelled rows, however large the corpus: about MAX_ROWS rows,
-taken by a hash of the id, of texts of at most LONGEST characters, and of MAX_BYTES bytes at most in all. It is
-applied to whole texts of any length.
+The model is learned from every row with text and language outside the held-out fold, from whole texts. Rows are dealt by
+a hash of the id to shares of a bounded size, a task learns from a share, and what the tasks learned is averaged after each pass of all
+rows (see shared.passed). A table of one share is passed EPOCHS times, larger ones fewer times, LEAST_PASSES at least.
 """
 
 from __future__ import annotations
@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import LOWER, buffers, chunks, fitted, sent
+from .shared import LOWER, buffers, chunks, passed, scope, sent, shares
 
-#: Bounds of what is learned from: rows, characters of a text, bytes of all texts.
-MAX_ROWS, LONGEST, MAX_BYTES = 4000, 20_000, 48 << 20
+#: How often a table of one share is passed, and any table at least.
+EPOCHS, LEAST_PASSES = 12, 2
 FOLDS, HELD_OUT = 3, 1
 #: Hashed triples; pairs have a weight each.
 TRIPLES = 1 << 15
@@ -76,6 +76,17 @@ class Model:
     weights: np.ndarray = field(default_factory=lambda: np.zeros((FEATURES, 0), np.float32))
     bias: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     trust: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+    _wide: np.ndarray | None = None
+
+    @property
+    def wide(self) -> np.ndarray:
+        """The weights as doubles."""
+        if self._wide is None:
+            self._wide = self.weights.astype(np.float64)
+        return self._wide
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_wide": None}
 
     def margins(self, data: np.ndarray) -> np.ndarray:
         """Mean weight of the n-grams of a text's bytes, for each bit. Long texts are taken in overlapping steps; the counts are whole."""
@@ -87,7 +98,7 @@ class Model:
             triples = min(STEP, len(part) - 2)
             f = grams(part)
             f = np.concatenate((f[:pairs], f[len(part) - 1 :][:triples]))
-            total += self.weights[f].sum(0, dtype=np.float64)
+            total += np.ones(len(f)) @ np.take(self.wide, f, axis=0)
             count += len(f)
         return total / max(count, 1) + self.bias
 
@@ -103,50 +114,97 @@ class Model:
         return self.languages[best], float(p[best]), bool(p[best] - rest < AMBIGUOUS)
 
 
-def fit(texts: list[str], languages: list[str], epochs: int = 12, seed: int = 3) -> Model:
-    """Logistic regression for all bits at once, by Adagrad over single texts' n-gram frequencies."""
+class Learner:
+    """Logistic regression for all bits at once, by Adagrad over single texts' n-gram frequencies.
+
+    Its numbers are a matrix: a row for each feature and one for the bias, with a column for each bit and one for Adagrad's sum of squares.
+    """
+
+    def __init__(self, code: np.ndarray, weigh: list[float], numbers: np.ndarray | None = None):
+        self.code, self.weigh = code, weigh
+        if numbers is None:
+            numbers = np.zeros((FEATURES + 1, code.shape[1] + 1), np.float32)
+            numbers[:-1, -1], numbers[-1, -1] = 1e-6, 1
+        self.numbers = numbers
+        self.right, self.seen = np.zeros(code.shape[1], np.int64), 0
+
+    def learn(self, text: str, language: int) -> None:
+        low = LOWER[np.frombuffer(text.encode(), np.uint8)]
+        if len(low) < 2:
+            return
+        f, x = frequencies(low)
+        own, bias, y = np.take(self.numbers, f, axis=0), self.numbers[-1], self.code[language]
+        margin = x @ own[:, :-1] + bias[:-1]
+        self.right += np.sign(margin) == y
+        self.seen += 1
+        g = -y / (1 + np.exp(np.clip(y * margin, -30, 30))) * np.float32(self.weigh[language])
+        step = x[:, None] * g
+        own[:, -1] += (step**2).mean(1)
+        own[:, :-1] -= 0.5 * step / np.sqrt(own[:, -1:])
+        self.numbers[f] = own
+        bias[-1] += float((g**2).mean())
+        bias[:-1] -= 0.05 * g / np.sqrt(bias[-1])
+
+    def model(self, names: list[str], right: np.ndarray, seen: int) -> Model:
+        """right: how often each bit was told rightly, of texts seen in the last pass."""
+        better = np.clip(right / max(seen, 1) - 0.5, 0.01, None)
+        return Model(names, self.code, self.numbers[:-1, :-1].copy(), self.numbers[-1, :-1].copy(), (better / better.sum() * 2).astype(np.float32))
+
+
+def frequencies(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The features of lower-cased bytes and their share each; counted in steps, so that long texts take no more memory."""
+    if len(low) <= STEP:
+        f, c = np.unique(grams(low), return_counts=True)
+    else:
+        every = np.zeros(FEATURES, np.int64)
+        for at in range(0, len(low) - 1, STEP):
+            part = low[at : at + STEP + 2]
+            g = grams(part)
+            every += np.bincount(np.concatenate((g[: min(STEP, len(part) - 1)], g[len(part) - 1 :][: min(STEP, len(part) - 2)])), minlength=FEATURES)
+        f = np.flatnonzero(every)
+        c = every[f]
+    return f, (c / c.sum()).astype(np.float32)
+
+
+def fit(texts: list[str], languages: list[str], epochs: int = EPOCHS, seed: int = 3) -> Model:
+    """A model from texts at hand."""
     names = sorted(set(languages))
     if len(names) < 2:
         return Model(names)
-    code = codewords(len(names))
-    counts = []
-    for t in texts:
-        low = LOWER[np.frombuffer(t.encode(), np.uint8)]
-        f, c = np.unique(grams(low) if len(low) > 1 else np.zeros(0, np.uint32), return_counts=True)
-        counts.append((f, (c / max(c.sum(), 1)).astype(np.float32)))
-    target = code[[names.index(x) for x in languages]]
-    rng = np.random.default_rng(seed)
-    w, b = np.zeros((FEATURES, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
-    gw, gb = np.full((FEATURES, 1), 1e-6, np.float32), 1.0
     # languages weigh the same, however many rows each has
-    often = {x: languages.count(x) for x in names}
-    weigh = [len(languages) / (len(names) * often[x]) for x in languages]
-    for epoch in range(epochs):
+    learner = Learner(codewords(len(names)), [len(languages) / (len(names) * languages.count(x)) for x in names])
+    rng = np.random.default_rng(seed)
+    for _ in range(epochs):
+        learner.right[:], learner.seen = 0, 0
         for k in rng.permutation(len(texts)):
-            f, x = counts[k]
-            if not len(f):
-                continue
-            y = target[k]
-            g = -y / (1 + np.exp(np.clip(y * (x @ w[f] + b), -30, 30))) * weigh[k]
-            own = x[:, None] * g
-            gw[f, 0] += (own**2).mean(1)
-            gb += float((g**2).mean())
-            w[f] -= 0.5 * own / np.sqrt(gw[f])
-            b -= 0.05 * g / np.sqrt(gb)
-    model = Model(names, code, w, b, np.ones(code.shape[1], np.float32))
-    m = np.stack([x @ w[f] + b for f, x in counts])
-    right = (np.sign(m) == target).mean(0)
-    model.trust = (np.clip(right - 0.5, 0.01, None) / np.clip(right - 0.5, 0.01, None).sum() * 2).astype(np.float32)
-    return model
-
-
-def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS, longest: int = LONGEST, max_bytes: int = MAX_BYTES) -> Model:
-    """A model from a sample of the rows with text and language outside the held-out fold, fitted in one task of an executor."""
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (fold(F.col(id_col)) != HELD_OUT)).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"))
-    by = F.xxhash64(F.col("id").cast("string"))
-    share = int(min(1.0, max_rows / max(known.select("id").count(), 1)) * (1 << 30))
-    few = known.where((F.pmod(by, F.lit(1 << 30)) < share) & (F.length("text") <= longest)).sort(by, "id", "text", "lang").limit(2 * max_rows).select("text", "lang")
-    return fitted(few, lambda rows: fit([r["text"] for r in rows], [r["lang"] for r in rows]), max_bytes)
+            learner.learn(texts[k], names.index(languages[k]))
+    return learner.model(names, learner.right, learner.seen)
+
+
+def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+    """A model from all rows with text and language outside the held-out fold."""
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (fold(F.col(id_col)) != HELD_OUT))
+    rows = known.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("label"))
+    often = dict(sorted((r[0], r[1]) for r in rows.groupBy("label").count().collect()))
+    names = list(often)
+    if len(names) < 2:
+        return Model(names)
+    code, number = codewords(len(names)), {x: k for k, x in enumerate(names)}
+    weigh = [sum(often.values()) / (len(names) * often[x]) for x in names]
+    learner = Learner(code, weigh)
+    dealt, parts = shares(rows)
+
+    def learn(batches: Iterator[pa.RecordBatch], numbers: np.ndarray) -> list[int]:
+        own = Learner(code, weigh, numbers)
+        for b in batches:
+            for text, label in zip(b.column(0), b.column(1), strict=True):
+                own.learn(text.as_py(), number[label.as_py()])
+        return [*own.right.tolist(), own.seen]
+
+    for _ in range(max(LEAST_PASSES, -(-EPOCHS // parts))):
+        with scope(docs.sparkSession):
+            learner.numbers, (*right, seen) = passed(dealt, learner.numbers, learn, code.shape[1] + 1)
+    return learner.model(names, np.array(right), seen)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
