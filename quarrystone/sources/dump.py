@@ -1,4 +1,4 @@
-"""XML exports of pages and of full histories, by Spark's XML source (bzip2 and gzip by suffix)."""
+"""XML exports of pages and of full histories, by Spark's XML parser (bzip2 and gzip by suffix)."""
 
 from __future__ import annotations
 
@@ -9,16 +9,53 @@ _TEXT = "text struct<_VALUE: string, _deleted: string>"
 _REVISION = f"struct<id: bigint, timestamp: string, contributor: struct<username: string, ip: string, id: bigint>, comment: string, {_TEXT.replace('text ', 'text: ', 1)}>"
 PAGE_SCHEMA = f"title string, ns int, id bigint, redirect struct<_title: string>, revision array<{_REVISION}>"
 
+# blanks at the ends of titles and texts count
+_PARSING = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
+
+_END = "</page>"
+#: An instruction that is not the first line of an export in UTF-8.
+_INSTRUCTION = r"""<\?(?!xml version=["']1\.0["'](?: encoding=["'](?i:utf-8)["'])?(?: standalone=["'](?:yes|no)["'])?\s*\?>)"""
+#: Files that no task can read from the middle.
+_PACKED = r"\.(?:gz|deflate|snappy|lz4|zst)$"
+
+
+def _found(tag: str) -> Column:
+    """The elements `tag` of a piece of an export that ends before </page>."""
+    value = F.col("value")
+    if tag == "page":
+        return F.when(value.contains("<page>"), F.array(F.concat(F.lit("<page>"), F.substring_index(value, "<page>", -1), F.lit(_END)))).otherwise(F.array().cast("array<string>"))
+    return F.regexp_extract_all(value, F.lit(rf"<{tag}(?:\s[^<>]*)?(?:/>|>[^<]*</{tag}>)"), F.lit(0))
+
+
+def _plain(tag: str) -> Column:
+    """Whether a piece has nothing in which </page> may be no end (comments, CDATA, instructions), no other end, only elements that are found, and UTF-8."""
+    value = F.col("value")
+    odd = value.contains("<!") | value.contains("</page") | value.contains("\0") | (value.contains("<?") & value.rlike(_INSTRUCTION))
+    return ~odd & F.is_valid_utf8(value) & (F.regexp_count(value, F.lit(rf"<{tag}[\s/>]")) == F.size(_found(tag)))
+
 
 def _rows(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    # blanks at the ends of titles and texts count
-    return spark.read.format("xml").option("rowTag", tag).option("ignoreSurroundingSpaces", "false").option("mode", "PERMISSIVE").schema(schema).load(path)
+    """A row for each element `tag`.
+
+    The XML source gives a file to one task, of whatever size. So files are cut at the ends of pages, as texts are at the ends of lines, and the pieces are
+    parsed alone. All pieces are looked at first: the XML source reads a file whole where a cut could be wrong, and where a codec lets no task start in the middle.
+    A page that can't be parsed gives a row of nulls; in a file read whole, it is the last row.
+    """
+    file = F.col("_metadata.file_path")
+    pieces = spark.read.option("lineSep", _END).text(path).where(~file.rlike(_PACKED))
+    # the last piece of a file, and no other, is without a page
+    files = pieces.groupBy(file.alias("file")).agg(F.bool_and(_plain(tag)).alias("plain"), F.count_if(~F.col("value").contains("<page>")).alias("ends"))
+    odd = [r["file"] for r in files.where("not plain or ends <> 1").collect()]
+    # inline() parses once, where a filter on a field of from_xml() would parse again
+    cut = pieces.where(~file.isin(odd)).select(F.explode(_found(tag)).alias("xml")).select(F.inline(F.array(F.from_xml("xml", schema, _PARSING))))
+    whole = spark.read.format("xml").option("rowTag", tag).options(**_PARSING).schema(schema).load(path)
+    return cut.unionByName(whole.where(file.rlike(_PACKED) | file.isin(odd)).select(cut.columns))
 
 
 def read_pages(spark: SparkSession, path: str, namespaces: list[int] | None = None) -> DataFrame:
     """(page_id, ns, title, redirect_target, text, timestamp, rev_id) of an export; the last revision of a page, '' and 0 for what is absent.
 
-    The XML source reads a page before it can be filtered: for repeated use, land the result as Parquet by ns (see sources.tables.land).
+    A page is parsed before it can be filtered: for repeated use, land the result as Parquet by ns (see sources.tables.land).
     """
     rows = _rows(spark, path, "page", PAGE_SCHEMA)
     if namespaces is not None:
