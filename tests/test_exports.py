@@ -60,6 +60,13 @@ def test_no_task_reads_all_pages_of_a_large_file(spark, large, splits):
     assert got == sorted(w for w in want if w[1] < 2) and most < N / 5
 
 
+def test_no_task_reads_all_revisions_of_a_large_file(spark, large, splits):
+    path, want = large
+    splits(50_000)
+    got, most = dealt(dump.read_revisions(spark, path))
+    assert got == sorted(want) and most < N / 5
+
+
 def test_cuts_fall_anywhere(spark, tmp_path, splits):
     data = export(*(page(i, "é" * (i % 7)) for i in range(30)))
     (tmp_path / "a.xml").write_bytes(data)
